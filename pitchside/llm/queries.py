@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,6 +18,36 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+HELD_OUT = 5
+KEEP_FROM = 0.3
+
+
+def learnt(parts: int = HELD_OUT, held: int = 0) -> Column:
+    """Rows that a model may learn from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts != held
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, with_scores
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"), learnt())
+    scored = with_scores(docs, model)
+    return scored.select("doc_id", (~learnt()).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign
+
+    return assign(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -25,6 +56,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op7_mixing": op7_mixing,
+    "op9_quality": op9_quality,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}

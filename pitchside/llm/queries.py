@@ -48,6 +48,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"))
 
 
+def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import verdicts
+
+    return verdicts(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -55,6 +61,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_rules": op2_rules,
     "op3_packing": op3_packing,
     "op7_mixing": op7_mixing,
     "op9_quality": op9_quality,

@@ -23,13 +23,27 @@ class Memo(dict):
         return n
 
 
+def tokenizer(path: str) -> MemoTokenizer:
+    """The one that this process already has, with what it has learnt, or a new one."""
+    import tokenizers
+
+    memos = tokenizers.__dict__.setdefault("_pitchside_memos", {})
+    if path not in memos:
+        memos.clear()
+        memos[path] = MemoTokenizer(path)
+    return memos[path]
+
+
 class MemoTokenizer:
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # such strings in a text are ordinary text
+        if hasattr(self.model.model, "_resize_cache"):
+            self.model.model._resize_cache(0)  # the memo stands before it
+        self.feed = self.model.token_to_id("Ċ")  # a line feed, as byte-level vocabularies write it
         self.most = most
         self.known = Memo()
         self.uses = np.zeros(0, np.int64)
@@ -41,12 +55,33 @@ class MemoTokenizer:
         return [e.ids for i in range(0, len(texts), 4096) for e in self.model.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
 
     def learn(self, fresh: list) -> None:
-        ids = self.whole([x[0] if type(x) is tuple else " " + x for x in fresh])
-        long = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint16, int(long.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(long)])
-        self.uses = np.concatenate([self.uses, np.zeros(len(ids), np.int64)])
         odd = [(not x[0] or x[0][-1].isspace()) if type(x) is tuple else (not x or x[0].isspace() or x[-1].isspace()) for x in fresh]
+        pieces = [x[0] if type(x) is tuple else " " + x for x in fresh]
+        # many pieces at a time, parted by a line feed, which is an id of its own between them
+        alone = [k for k, x in enumerate(pieces) if odd[k] or "\n" in x or not x]
+        parted = np.ones(len(pieces), bool)
+        parted[alone] = False
+        rest = [pieces[k] for k in np.flatnonzero(parted)]
+        joined = self.whole(["\n".join(rest[i : i + 256]) for i in range(0, len(rest), 256)])
+        ids = np.fromiter(chain.from_iterable(x + [self.feed] for x in joined), np.uint16)
+        stops = np.flatnonzero(ids == self.feed)
+        long = np.zeros(len(pieces), np.int64)
+        long[parted] = np.diff(stops, prepend=-1) - 1
+        ids = np.delete(ids, stops)
+        own = self.whole([pieces[k] for k in alone])
+        long[alone] = list(map(len, own))
+        if alone:
+            at = np.cumsum(long) - long
+            out = np.empty(int(long.sum()), np.uint16)
+            free = np.ones(len(out), bool)
+            for k, x in zip(alone, own, strict=True):
+                out[at[k] : at[k] + len(x)] = x
+                free[at[k] : at[k] + len(x)] = False
+            out[free] = ids
+            ids = out
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(long)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
         self.unsafe = np.concatenate([self.unsafe, np.array(odd, bool)])
 
     def forget(self, least: int) -> None:

@@ -54,6 +54,13 @@ def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -63,6 +70,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_rules": op2_rules,
     "op3_packing": op3_packing,
+    "op4_simhash": op4_simhash,
     "op7_mixing": op7_mixing,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,

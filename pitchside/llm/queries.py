@@ -61,6 +61,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mpegts import read_streams, with_streams
+
+    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    return read_streams(with_streams(table(spark, sf_dir, "documents"))).select(*columns)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -71,6 +78,7 @@ QUERIES = {
     "op2_rules": op2_rules,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
+    "op6_mpegts": op6_mpegts,
     "op7_mixing": op7_mixing,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,

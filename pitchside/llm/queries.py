@@ -48,6 +48,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive, keyed, materialise, read_records, resolved
+
+    pages = table(spark, sf_dir, "pages")
+    root, index = archive(spark, pages)
+    records = materialise(read_records(index.find(keyed(pages)), root), "warc-read")
+    return resolved(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rules import verdicts
 
@@ -75,6 +84,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_rules": op2_rules,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
@@ -84,4 +94,13 @@ QUERIES = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha256(b) AS payload_digest FROM p),
+        f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f""",
+}

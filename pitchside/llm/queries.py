@@ -33,6 +33,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram import scores
+
+    return scores(table(spark, sf_dir, "documents"), ~learnt(7, 2))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit, with_scores
 
@@ -90,6 +96,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op6_mpegts": op6_mpegts,
     "op7_mixing": op7_mixing,
+    "op8_ngram": op8_ngram,
     "op9_quality": op9_quality,
     "op10_sharding": op10_sharding,
 }

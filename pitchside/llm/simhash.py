@@ -1,15 +1,14 @@
 """Near-duplicates by SimHash fingerprints, found by meet-in-the-middle ball hashing.
 
 Two fingerprints within `radius` bits have a midpoint within half the radius of both. So every distinct fingerprint
-emits all its variants within half the radius, and those that emit the same variant meet. Two plans of this are joined:
+emits all its variants within half the radius (2,081 at radius 4), and those that emit the same variant meet. Any two
+that meet are within the radius, so each is verified against and linked to the first one there: the work grows with the
+fingerprints, however many of them are alike. Variants travel as packed arrays in buckets of bounded size.
 
-* Over all 64 bits (`whole`) a fingerprint has 2,081 variants at radius 4, and any two that meet are within the
-  radius, so each is linked to the first one there: linear in the fingerprints, however many meet.
-* The bits are also split in three blocks: of any four differing bits at most two are in the best two blocks, so the variants
-  within one bit of each pair of blocks (131 in all) let the same pairs meet, and fewer others; they are verified.
+A cheaper plan of the same kind is there for `blocks=3, keep=2`: of any four differing bits at most two are in the best two
+of three blocks of bits, so the variants within one bit of each pair of blocks (131 in all) let the same pairs meet,
+and a few others. Pairs are verified there, and where more than `crowd` meet, those go through the first plan.
 
-The second plan is used first. Where more than `crowd` fingerprints meet, pairs are not compared; its fingerprints go
-through the first plan, which links all pairs of them. Variants travel as packed arrays in buckets of bounded size.
 Components of the links are found by large-star and small-star rounds over tables in the shared folder.
 
 Defined cases: a text without words, or null, has fingerprint zero and is linked like any other; fewer words than a
@@ -118,7 +117,8 @@ def exchange(distinct: DataFrame, of: tuple, buckets: int) -> DataFrame:
             cut = lambda x: pa.array([x[stops[k] : stops[k + 1]].tobytes() for k in full], pa.binary())  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(fps), cut(ks)], ["bucket", "fps", "ks"])
 
-    return distinct.select("fp").mapInArrow(run, "bucket int, fps binary, ks binary")
+    tasks = max(1, buckets * ENTRIES // 30_000_000)
+    return distinct.select("fp").repartition(tasks).mapInArrow(run, "bucket int, fps binary, ks binary")
 
 
 def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFrame:
@@ -136,8 +136,10 @@ def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFr
         a, b, crowded = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
         if crowd is None:
             later = np.flatnonzero(np.arange(len(keys)) != first[run_of])
-            a.append(fps[later])
-            b.append(fps[first[run_of[later]]])
+            one, other = fps[later], fps[first[run_of[later]]]
+            near = np.bitwise_count(one ^ other) <= radius
+            a.append(one[near])
+            b.append(other[near])
         else:
             crowded = np.unique(fps[sizes[run_of] > crowd])
             at = np.flatnonzero((sizes[run_of] > 1) & (sizes[run_of] <= crowd))
@@ -158,8 +160,10 @@ def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFr
     return packed.groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
-def links(distinct: DataFrame, radius: int = 4, blocks: int = 3, keep: int = 2, crowd: int = 64) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 4, blocks: int = 1, keep: int = 1, crowd: int = 64) -> DataFrame:
     """a, b: links that join any two of the distinct fingerprints (fp) within the radius, maybe through others."""
+    if radius % 2:
+        raise ValueError("the radius must be even, so that whoever meets in its middle is within it")
     n = distinct.count()
     of = plan(radius, blocks, keep)
     exact = blocks == 1
@@ -170,7 +174,7 @@ def links(distinct: DataFrame, radius: int = 4, blocks: int = 3, keep: int = 2,
         found = found.where("b is not null")
         if many := crowded.count():
             whole = plan(radius, 1, 1)
-            packed = exchange(crowded.repartition(max(1, many // 4000 + 1)), whole, max(1, -(-many * len(whole[0]) // ENTRIES)))
+            packed = exchange(crowded, whole, max(1, -(-many * len(whole[0]) // ENTRIES)))
             found = found.unionByName(materialise(meet(packed, whole, radius, None), "simhash-crowd-links"))
     return found
 

@@ -76,6 +76,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokenfile import write_and_read
+
+    return write_and_read(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mpegts import read_streams, with_streams
 
@@ -94,6 +100,7 @@ QUERIES = {
     "op2_rules": op2_rules,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
+    "op5_token_files": op5_token_files,
     "op6_mpegts": op6_mpegts,
     "op7_mixing": op7_mixing,
     "op8_ngram": op8_ngram,

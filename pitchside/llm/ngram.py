@@ -24,18 +24,32 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import filesystem, materialise, raw, shared_dir, small, uniform, write_file
+from .shared import filesystem, materialise, raw, remove, shared_dir, small, uniform, write_file
 
 END = xxhash.xxh64_intdigest(b"")  # no word is empty
 PART = 4_000_000  # tokens that a task holds at once
 PACKED = "block string, bucket int, a binary, n binary, b binary, c binary"
-BACK = "block string, keys binary, totals binary, contexts binary, mass binary, types binary, tokens long, distinct_words long"
+BACK = "block string, bucket int, a binary, n binary, b binary, c binary, contexts binary, mass binary, types binary, tokens long, distinct_words long, frequent_words long"
 COLUMNS = [x.split()[0] for x in BACK.split(", ")]
 
 
+def pack(a: np.ndarray, rising: bool = False) -> bytes:
+    """Unsigned numbers, byte plane by byte plane; of a rising array, the steps."""
+    a = np.diff(a, prepend=np.uint64(0)) if rising else a
+    return zstandard.compress(np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack(x: bytes | None, rising: bool = False) -> np.ndarray:
+    if not x:
+        return np.zeros(0, np.uint64)
+    a = np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.cumsum(a, dtype=np.uint64) if rising else a
+
+
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, ends included, and each text's number of them."""
     words = [x.lower().split() for x in texts]
@@ -55,10 +69,6 @@ def before(items: np.ndarray, long: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def pair_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return uniform(u * np.uint64(0x9E3779B97F4A7C15) + v)
-
-
 def by_block(batches: Iterator[pa.RecordBatch], done: Callable) -> Iterator[pa.RecordBatch]:
     """done(block, hashes, lengths, learnt) for each block, or each part of one that has very many tokens."""
     held, now, size = [], None, 0
@@ -87,11 +97,18 @@ def by_block(batches: Iterator[pa.RecordBatch], done: Callable) -> Iterator[pa.R
     yield from flush()
 
 
-def cut(at: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
-    """For ascending `at`: each of its values with the bytes of the arrays' parts."""
+def spans(at: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """The values of an ascending array, with where each begins and ends."""
     values, first = np.unique(at, return_index=True)
-    for value, a, b in zip(values.tolist(), first, np.append(first[1:], len(at)), strict=True):
-        yield value, *(x[a:b].tobytes() for x in arrays)
+    yield from zip(values.tolist(), first.tolist(), [*first[1:].tolist(), len(at)], strict=True)
+
+
+def heads_of(u: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a sorted array, and the sums of n for each."""
+    if not len(u):
+        return u, n
+    at = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+    return u[at], np.add.reduceat(n, at)
 
 
 def put(rows: list[tuple]) -> pa.RecordBatch:
@@ -100,6 +117,11 @@ def put(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PACKED.split(", ")])
 
 
+def back(rows: list[dict]) -> pa.Table:
+    kinds = (pa.string(), pa.int32(), *[pa.binary()] * 7, *[pa.int64()] * 3)
+    return pa.table([pa.array([r.get(c) for r in rows], k) for c, k in zip(COLUMNS, kinds, strict=True)], names=COLUMNS)
+
+
 def word_counts(docs: DataFrame, bits: int) -> DataFrame:
     """Each block's distinct words with their learnt counts, to the bucket of their hash's first bits."""
 
@@ -107,86 +129,79 @@ def word_counts(docs: DataFrame, bits: int) -> DataFrame:
         words, inverse = np.unique(hashes, return_inverse=True)
         counts = np.bincount(inverse, weights=np.repeat(learnt, long), minlength=len(words)).astype(np.uint64)
         at = (words >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(words), np.int32)
-        yield put([(block, k, a, None, None, c) for k, a, c in cut(at, words, counts)])
+        yield put([(block, k, pack(words[a:b], True), None, None, pack(counts[a:b])) for k, a, b in spans(at)])
 
     return docs.mapInArrow(lambda batches: by_block(batches, done), PACKED)
 
 
-def back(rows: list[tuple]) -> pa.Table:
-    kinds = (pa.string(), *[pa.binary()] * 5, pa.int64(), pa.int64())
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-    return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=COLUMNS)
-
+def word_totals(least_word: int) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        """A bucket's totals, for each block those of its words; frequent words are numbered, from 1 in each bucket. A
+        row without a block has the bucket's tokens and words."""
+        parts = [unpack(x, True) for x in table["a"].to_pylist()]
+        words, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        totals = np.bincount(inverse, weights=np.concatenate([unpack(x) for x in table["c"].to_pylist()])).astype(np.uint64)
+        frequent = totals >= least_word
+        number = np.where(frequent, np.cumsum(frequent), 0).astype(np.uint64)
+        own: dict[str, list[np.ndarray]] = {}
+        for block, at in zip(table["block"].to_pylist(), np.split(inverse, np.cumsum([len(x) for x in parts])[:-1]), strict=True):
+            own.setdefault(block, []).append(at)
+        bucket = table["bucket"][0].as_py()
+        rows = [{"bucket": bucket, "tokens": int(totals.sum()), "distinct_words": int((totals > 0).sum()), "frequent_words": int(frequent.sum())}]
+        for block, at in own.items():
+            at = np.unique(np.concatenate(at))
+            rows.append({"block": block, "bucket": bucket, "a": pack(words[at], True), "c": pack(totals[at]), "n": pack(number[at])})
+        return back(rows)
 
-def word_totals(table: pa.Table) -> pa.Table:
-    """A bucket's totals, for each block those of its words; a row without a block has the bucket's tokens and words."""
-    parts = [np.frombuffer(x, np.uint64) for x in table["a"].to_pylist()]
-    counts = [np.frombuffer(x, np.uint64) for x in table["c"].to_pylist()]
-    words, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-    totals = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.uint64)
-    blocks = table["block"].to_pylist()
-    own: dict[str, list[np.ndarray]] = {}
-    for block, at in zip(blocks, np.split(inverse, np.cumsum([len(x) for x in parts])[:-1]), strict=True):
-        own.setdefault(block, []).append(at)
-    rows = [(None, None, None, None, None, None, int(totals.sum()), int((totals > 0).sum()))]
-    for block, at in own.items():
-        at = np.unique(np.concatenate(at))
-        rows.append((block, words[at].tobytes(), totals[at].tobytes(), None, None, None, None, None))
-    return back(rows)
+    return run
 
 
-def pair_counts(docs: DataFrame, root: str, buckets: int, least_word: int, common: int, salts: int) -> DataFrame:
-    """Each block's distinct pairs, by context; those of common contexts are dealt over `salts` buckets each."""
+def pair_counts(docs: DataFrame, root: str, buckets: int, common: int, salts: int) -> DataFrame:
+    """Each block's distinct pairs of frequent words, by context; those of common contexts are dealt over `salts` buckets each."""
 
     def done(block: str, hashes: np.ndarray, long: np.ndarray, learnt: np.ndarray) -> Iterator[pa.RecordBatch]:
-        words, totals = load(root, "words", block, 2)
+        words, totals, number = load(root, "words", block, 3)
         at = np.searchsorted(words, hashes)
-        prior = before(at, long, int(np.searchsorted(words, np.uint64(END))))
-        fit = (totals[at] >= least_word) & (totals[prior] >= least_word)
-        code = prior * len(words) + at
+        now = number[at]
+        prior = before(now, long, int(number[np.searchsorted(words, np.uint64(END))]))
+        fit = (now > 0) & (prior > 0)
+        pair = prior << np.uint64(32) | now
         teach = np.repeat(learnt, long)
-        pairs, counts = np.unique(code[fit & teach], return_counts=True)
-        others = np.setdiff1d(code[fit & ~teach], pairs)
-        pairs, counts = np.concatenate([pairs, others]), np.concatenate([counts, np.zeros(len(others), np.int64)])
-        u, v = words[pairs // len(words)], words[pairs % len(words)]
-        n = np.ones(len(pairs), np.uint32)
-        salt = np.where(totals[pairs // len(words)] >= common, uniform(v) % np.uint64(salts), np.uint64(0))
+        pairs, counts = np.unique(pair[fit & teach], return_counts=True)
+        others = np.setdiff1d(pair[fit & ~teach], pairs)
         # every context is told, with or without pairs, so that its mass comes back; a common one to all its buckets
-        wide, other = words[totals >= common], words[(totals >= least_word) & (totals < common)]
-        told = np.concatenate([np.repeat(wide, salts), other])
-        u, v = np.concatenate([u, told]), np.concatenate([v, np.zeros(len(told), np.uint64)])
-        salt = np.concatenate([salt, np.tile(np.arange(salts, dtype=np.uint64), len(wide)), np.zeros(len(other), np.uint64)])
-        n, counts = np.concatenate([n, np.zeros(len(told), np.uint32)]), np.concatenate([counts, np.zeros(len(told), np.int64)])
+        told = number[number > 0]
+        wide = totals[number > 0] >= common
+        many = np.zeros(int(told.max()) + 1 if len(told) else 1, bool)
+        many[told[wide]] = True
+        u = np.concatenate([pairs >> np.uint64(32), others >> np.uint64(32), np.repeat(told[wide], salts), told[~wide]])
+        v = np.concatenate([pairs, others]) & np.uint64(0xFFFFFFFF)
+        salt = np.concatenate([np.where(many[u[: len(v)]], uniform(v) % np.uint64(salts), np.uint64(0)), np.tile(np.arange(salts, dtype=np.uint64), int(wide.sum())), np.zeros(int((~wide).sum()), np.uint64)])
+        real = np.arange(len(u)) < len(v)
+        v = np.concatenate([v, np.zeros(len(u) - len(v), np.uint64)])
+        counts = np.concatenate([counts.astype(np.uint64), np.zeros(len(u) - len(pairs), np.uint64)])
         bucket = (uniform(u + salt * np.uint64(0xD1B54A32D192ED03)) % np.uint64(buckets)).astype(np.int32)
         order = np.lexsort((v, u, bucket))
+        u, v, real, counts, bucket = u[order], v[order], real[order], counts[order], bucket[order]
         rows = []
-        u, v, n, counts, bucket = u[order], v[order], n[order], counts[order].astype(np.uint32), bucket[order]
-        for k, a, b in zip(*spans(bucket), strict=True):
-            heads = np.flatnonzero(np.concatenate([[True], u[a + 1 : b] != u[a : b - 1]]))
-            each = np.add.reduceat(n[a:b], heads).astype(np.uint32)
-            real = n[a:b] > 0
-            rows.append((block, k, u[a:b][heads].tobytes(), each.tobytes(), v[a:b][real].tobytes(), counts[a:b][real].tobytes()))
+        for k, a, b in spans(bucket):
+            heads, each = heads_of(u[a:b], real[a:b].astype(np.uint64))
+            own = real[a:b]
+            rows.append((block, k, pack(heads, True), pack(each), pack(v[a:b][own]), pack(counts[a:b][own])))
         yield put(rows)
 
     return docs.mapInArrow(lambda batches: by_block(batches, done), PACKED)
 
 
-def spans(at: np.ndarray) -> tuple[list, list, list]:
-    values, first = np.unique(at, return_index=True)
-    return values.tolist(), first.tolist(), [*first[1:].tolist(), len(at)] if len(at) else []
-
-
 def pair_totals(least: int) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         """A bucket's pairs with enough counts, for each block those that it has; and its contexts' mass and types."""
-        read = lambda name, kind: [np.frombuffer(x or b"", kind) for x in table[name].to_pylist()]
-        heads, each, v, c = read("a", np.uint64), read("n", np.uint32), read("b", np.uint64), read("c", np.uint32)
-        u = [np.repeat(x, n) for x, n in zip(heads, each, strict=True)]
-        keys = [pair_key(x, y) for x, y in zip(u, v, strict=True)]
-        distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        heads, each, v, c = ([unpack(x, k == "a") for x in table[k].to_pylist()] for k in "anbc")
+        keys = [np.repeat(x, n.astype(np.int64)) << np.uint64(32) | y for x, n, y in zip(heads, each, v, strict=True)]
+        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(inverse, weights=np.concatenate(c), minlength=len(distinct)).astype(np.uint64)
         kept = totals >= least
-        contexts, at = np.unique(np.concatenate(u)[first[kept]], return_inverse=True)
+        contexts, at = np.unique(distinct[kept] >> np.uint64(32), return_inverse=True)
         mass = np.bincount(at, weights=totals[kept], minlength=len(contexts)).astype(np.uint64)
         types = np.bincount(at, minlength=len(contexts)).astype(np.uint64)
         own: dict[str, list[tuple]] = {}
@@ -197,26 +212,33 @@ def pair_totals(least: int) -> Callable:
             at = np.unique(np.concatenate([x for x, _ in parts]))
             at = at[kept[at]]
             mine = np.isin(contexts, np.concatenate([x for _, x in parts]))
-            rows.append((block, distinct[at].tobytes(), totals[at].tobytes(), contexts[mine].tobytes(), mass[mine].tobytes(), types[mine].tobytes(), None, None))
+            u, n = heads_of(distinct[at] >> np.uint64(32), np.ones(len(at), np.uint64))
+            rows.append({"block": block, "a": pack(u, True), "n": pack(n), "b": pack(distinct[at] & np.uint64(0xFFFFFFFF)), "c": pack(totals[at]), "contexts": pack(contexts[mine], True), "mass": pack(mass[mine]), "types": pack(types[mine])})
         return back(rows)
 
     return run
 
 
-def store(rows: DataFrame, root: str, kind: str) -> None:
-    """A file per block of what came back to it."""
+def store(rows: DataFrame, root: str, kind: str, bases: dict[int, int] | None = None) -> None:
+    """A file per block of what came back to it. bases: what each bucket's numbers of words start after."""
 
     def run(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        join = lambda name: np.frombuffer(b"".join(x or b"" for x in table[name].to_pylist()), np.uint64)
-        keys, totals = join("keys"), join("totals")
+        read = lambda name, rising=False: [unpack(x, rising) for x in table[name].to_pylist()]
+        if kind == "words":
+            number = [np.where(x > 0, x + np.uint64(bases[k]), x) for k, x in zip(table["bucket"].to_pylist(), read("n"), strict=True)]
+            keys, rest = np.concatenate(read("a", True)), [np.concatenate(read("c")), np.concatenate(number)]
+        else:
+            keys = np.concatenate([np.repeat(u, n.astype(np.int64)) << np.uint64(32) | v for u, n, v in zip(read("a", True), read("n"), read("b"), strict=True)])
+            rest = [np.concatenate(read("c"))]
         order = np.argsort(keys, kind="stable")
-        arrays = [keys[order], totals[order]]
+        arrays = [keys[order], *(x[order] for x in rest)]
         if kind == "pairs":  # the parts of a common context are summed
-            contexts, inverse = np.unique(join("contexts"), return_inverse=True)
-            arrays += [contexts, *(np.bincount(inverse, weights=join(x), minlength=len(contexts)).astype(np.uint64) for x in ("mass", "types"))]
-        head = np.array([len(x) for x in arrays], np.uint64)
-        write_file(f"{root}/{kind}/{block}", b"".join(x.tobytes() for x in (head, *arrays)))
+            contexts, inverse = np.unique(np.concatenate(read("contexts", True)), return_inverse=True)
+            arrays += [contexts, *(np.bincount(inverse, weights=np.concatenate(read(x)), minlength=len(contexts)).astype(np.uint64) for x in ("mass", "types"))]
+        rising = {0, 3} if kind == "pairs" else {0}
+        parts = [pack(x, k in rising) for k, x in enumerate(arrays)]
+        write_file(f"{root}/{kind}/{block}", b"".join([np.array([len(x) for x in parts], "<u8").tobytes(), *parts]))
         return pa.table({"block": [block]})
 
     materialise(rows.where("block is not null").groupBy("block").applyInArrow(run, "block string"), f"ngram-{kind}")
@@ -225,21 +247,24 @@ def store(rows: DataFrame, root: str, kind: str) -> None:
 def load(root: str, kind: str, block: str, n: int) -> list[np.ndarray]:
     at, folder = filesystem(f"{root}/{kind}")
     with at.open_input_file(f"{folder}/{block}") as f:
-        data = np.frombuffer(f.read(), np.uint64)
-    ends = n + np.cumsum(data[:n].astype(np.int64))
-    return [data[b - int(k) : b] for k, b in zip(data[:n], ends, strict=True)]
+        data = f.read()
+    ends = 8 * n + np.cumsum(sizes := np.frombuffer(data, "<u8", n).astype(np.int64))
+    rising = {0, 3} if kind == "pairs" else {0}
+    return [unpack(data[b - k : b], i in rising) for i, (k, b) in enumerate(zip(sizes.tolist(), ends.tolist(), strict=True))]
 
 
 class Automaton:
     """The states and arcs that a block can meet. `walk` reads texts side by side; a token's state is its word's."""
 
-    def __init__(self, words, totals, keys, pairs, contexts, mass, types, tokens: int, distinct: int, least_word: int, discount: float):
-        self.words, self.totals, self.keys, self.pairs = words, totals.astype(np.float64), keys, pairs.astype(np.float64)
-        self.least_word, self.discount = least_word, discount
+    def __init__(self, words, totals, number, keys, pairs, contexts, mass, types, tokens: int, distinct: int, discount: float):
+        self.words, self.totals, self.number = words, totals.astype(np.float64), number
+        self.keys, self.pairs, self.discount = keys, pairs.astype(np.float64), discount
         self.root = (self.totals + 1) / (tokens + distinct + 1)  # the root's arc for each word
         self.fail = np.ones(len(words))  # what a state's failure arc weighs
         if len(contexts):
-            at = np.searchsorted(words, contexts)
+            own = np.flatnonzero(number)
+            at = own[np.argsort(number[own])]
+            at = at[np.searchsorted(number[at], contexts)]
             self.fail[at] = 1 - (mass - discount * types) / self.totals[at]
 
     def walk(self, hashes: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,9 +272,9 @@ class Automaton:
         at = np.searchsorted(self.words, hashes)
         state = before(at, long, int(np.searchsorted(self.words, np.uint64(END))))
         chance = self.fail[state] * self.root[at]
-        may = np.flatnonzero((self.totals[state] >= self.least_word) & (self.totals[at] >= self.least_word))
+        may = np.flatnonzero((self.number[state] > 0) & (self.number[at] > 0))
         if len(self.keys):
-            key = pair_key(self.words[state[may]], hashes[may])
+            key = self.number[state[may]] << np.uint64(32) | self.number[at[may]]
             arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[arc] == key
             may, arc = may[hit], arc[hit]
@@ -270,12 +295,19 @@ def scores(docs: DataFrame, held_out: F.Column, least_word: int = 8, least_pair:
     rows.write.option("maxRecordsPerFile", block_rows).option("compression", "zstd").parquet(copy)
     blocks = spark.read.schema(rows.schema).parquet(copy).select("doc_id", "text", "held_out", F.col("_metadata.file_name").alias("block"))
     bits = max(1, len(blocks.inputFiles()) - 1).bit_length()
-    words = materialise(word_counts(blocks, bits).groupBy("bucket").applyInArrow(word_totals, BACK), "ngram-words")
-    n_tokens, n_words = (x or 0 for x in words.agg(F.sum("tokens"), F.sum("distinct_words")).first())
-    store(words, root, "words")
+    words = materialise(word_counts(blocks, bits).groupBy("bucket").applyInArrow(word_totals(least_word), BACK), "ngram-words")
+    said = words.where("block is null").select("bucket", "tokens", "distinct_words", "frequent_words").orderBy("bucket").collect()  # a row per bucket
+    n_tokens, n_words, n_frequent = (sum(r[k] for r in said) for k in (1, 2, 3))
+    if n_frequent >> 32:
+        raise ValueError("more than 2**32 frequent words: raise least_word")
+    bases, base = {}, 0
+    for r in said:
+        bases[r["bucket"]], base = base, base + r["frequent_words"]
+    store(words, root, "words", bases)
+    remove(spark, words.inputFiles()[0].rpartition("/")[0])
     buckets = max(2 * salts if n_tokens > PART else 4, n_tokens // 1_500_000 + 1)
     common = max(least_word, n_tokens // (4 * buckets))
-    pairs = pair_counts(blocks, root, buckets, least_word, common, salts).groupBy("bucket").applyInArrow(pair_totals(least_pair), BACK)
+    pairs = pair_counts(blocks, root, buckets, common, salts).groupBy("bucket").applyInArrow(pair_totals(least_pair), BACK)
     store(pairs, root, "pairs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +316,7 @@ def scores(docs: DataFrame, held_out: F.Column, least_word: int = 8, least_pair:
             for name in dict.fromkeys(batch.column(3).to_pylist()):
                 own = batch.filter(pc.equal(batch.column(3), name))
                 if name != now:
-                    now, model = name, Automaton(*load(root, "words", name, 2), *load(root, "pairs", name, 5), n_tokens, n_words, least_word, discount)
+                    now, model = name, Automaton(*load(root, "words", name, 3), *load(root, "pairs", name, 5), n_tokens, n_words, discount)
                 hashes, long = tokens(raw(own.column(1)))
                 score, base, known = model.walk(hashes, long)
                 yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(long), pa.array(known), pa.array(np.full(len(long), n_tokens)), pa.array(base), pa.array(score)], [x.split()[0] for x in SCORES.split(", ")])

@@ -28,10 +28,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/pitchside-{name}-{uuid.uuid4().hex}"
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """The same rows, read from a Parquet table in the shared folder."""
+    """The same rows, read from a Parquet table in the shared folder. The shuffle files that this took go at once."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
+    before = spark.conf.get(CLEAN, None)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .shared import small
+from .tokens import MemoTokenizer
 from .tokens import tokenizer as shared_tokenizer
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -110,7 +111,11 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: i
     piece's ids as binary (little-endian unsigned 32-bit). `wave` items are gathered before sequences are filled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, packer = shared_tokenizer(tokenizer), Packer(capacity)
+        with shared_tokenizer(tokenizer) as model:
+            yield from packed(batches, model)
+
+    def packed(batches: Iterator[pa.RecordBatch], model: MemoTokenizer) -> Iterator[pa.RecordBatch]:
+        packer = Packer(capacity)
         sequence = TaskContext.get().partitionId() << 32
         rows: list[tuple] = []
 

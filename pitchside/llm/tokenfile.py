@@ -227,7 +227,7 @@ def write_ids(docs: DataFrame, tokenizer: str, root: str, end: int = 2, most: in
     """Files of all documents' ids, in order of doc_id: a task's files, of about `most` ids each, are a range of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, model = TaskContext.get(), shared_tokenizer(tokenizer)
+        task = TaskContext.get()
         held: list[tuple] = []
         rows = []
 
@@ -240,11 +240,12 @@ def write_ids(docs: DataFrame, tokenizer: str, root: str, end: int = 2, most: in
             write_file(f"{root}/{name}", data)
             rows.append((task.partitionId(), name, len(doc_ids), len(ids), len(data)))
 
-        for b in small(batches, 4 << 20):
-            ids, counts = model.encode(b.column(1).to_pylist(), end)
-            held.append((b.column(0).to_pylist(), counts, ids))
-            if sum(len(x[2]) for x in held) >= most:
-                put()
+        with shared_tokenizer(tokenizer) as model:
+            for b in small(batches, 4 << 20):
+                ids, counts = model.encode(b.column(1).to_pylist(), end)
+                held.append((b.column(0).to_pylist(), counts, ids))
+                if sum(len(x[2]) for x in held) >= most:
+                    put()
         if held:
             put()
         if rows:

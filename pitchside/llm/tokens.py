@@ -9,6 +9,9 @@ pieces, only those used again stay, which bounds a worker's memory.
 from __future__ import annotations
 
 import os
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -23,15 +26,22 @@ class Memo(dict):
         return n
 
 
-def tokenizer(path: str) -> MemoTokenizer:
-    """The one that this process already has, with what it has learnt, or a new one."""
+@contextmanager
+def tokenizer(path: str, idle: float = 4.0) -> Iterator[MemoTokenizer]:
+    """The one that this process already has, with what it has learnt, or a new one. It is let go when no task has
+    used it for so many seconds, as the process may serve other stages for long."""
     import tokenizers
 
-    memos = tokenizers.__dict__.setdefault("_pitchside_memos", {})
-    if path not in memos:
-        memos.clear()
-        memos[path] = MemoTokenizer(path)
-    return memos[path]
+    kept = tokenizers.__dict__.setdefault("_pitchside_memos", {})
+    memo, timer = kept.pop(path, (None, None))
+    if timer is not None:
+        timer.cancel()
+    memo = memo or MemoTokenizer(path)
+    yield memo
+    timer = threading.Timer(idle, kept.pop, (path, None))
+    timer.daemon = True
+    kept[path] = memo, timer
+    timer.start()
 
 
 class MemoTokenizer:

@@ -65,8 +65,10 @@ def values(opportunities: DataFrame, subs: DataFrame | None = None) -> DataFrame
 
 
 def _long(columns: dict[str, Column]) -> Column:
-    lists = [F.transform(F.coalesce(v, F.array().cast("array<string>")), lambda x, c=c: F.struct(F.lit(c).alias("category"), x.alias("value"))) for c, v in columns.items()]
-    return F.explode(F.flatten(F.array(*lists))).alias("m")
+    def tagged(category: str, values: Column) -> Column:
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda x: F.struct(F.lit(category).alias("category"), x.alias("value")))
+
+    return F.explode(F.flatten(F.array(*(tagged(c, v) for c, v in columns.items())))).alias("m")
 
 
 def category_counts(opportunities: DataFrame) -> DataFrame:

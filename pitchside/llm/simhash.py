@@ -3,7 +3,8 @@
 Two fingerprints within `radius` bits have a midpoint within half the radius of both. So every distinct fingerprint
 emits all its variants within half the radius (2,081 at radius 4), and those that emit the same variant meet. Any two
 that meet are within the radius, so each is verified against and linked to the first one there: the work grows with the
-fingerprints, however many of them are alike. Variants travel as packed arrays in buckets of bounded size.
+fingerprints, however many of them are alike. Variants travel as packed arrays in buckets of bounded size, in rounds of
+one part of them each, so that one part is on disk at a time.
 
 A cheaper plan of the same kind is there for `blocks=3, keep=2`: of any four differing bits at most two are in the best two
 of three blocks of bits, so the variants within one bit of each pair of blocks (131 in all) let the same pairs meet,
@@ -19,6 +20,7 @@ of its ids are null; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .shared import materialise, raw, remove, small, uniform
 
 SEED = 42  # fixed value
-ENTRIES = 2_000_000  # variants in a bucket, about
+ENTRIES = 1_000_000  # variants in a bucket, about
 
 
 def shingle_hashes(text: bytes, width: int = 4) -> list[int]:
@@ -100,15 +102,30 @@ def local_components(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return nodes[moved], nodes[label[moved]]
 
 
-def exchange(distinct: DataFrame, of: tuple, buckets: int) -> DataFrame:
-    """bucket, fps, ks: every variant of every fingerprint, packed by bucket of its key."""
+def syndromes(x: np.ndarray, rounds: int) -> np.ndarray:
+    """A linear map of the 64 bits to the numbers below `rounds` (a power of two)."""
+    out = np.zeros(len(x), np.uint64)
+    for b in range(rounds.bit_length() - 1):
+        mask = sum(1 << k for k in range(64) if k % rounds >> b & 1)
+        out |= (np.bitwise_count(x & np.uint64(mask)).astype(np.uint64) & np.uint64(1)) << np.uint64(b)
+    return out
+
+
+def exchange(distinct: DataFrame, of: tuple, buckets: int, rounds: int = 1, now: int = 0) -> DataFrame:
+    """bucket, fps, ks: the variants of every fingerprint, packed by bucket of their key; in a round, those of one syndrome.
+    The map is linear, so a fingerprint's syndrome says which flips lead there, and no others are tried."""
     n = len(of[0])
-    rows = max(1, 1_000_000 // n)
+    rows = max(1, 400_000 * rounds // n)
+    classes = syndromes(of[0], rounds)
+    flips = [np.flatnonzero(classes == c).astype(np.uint16) for c in range(rounds)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 1 << 30, rows):
-            fps = np.repeat(b.column(0).to_numpy().view(np.uint64), n)
-            ks = np.tile(np.arange(n, dtype=np.uint16), b.num_rows)
+            own = b.column(0).to_numpy().view(np.uint64)
+            need = syndromes(own, rounds) ^ np.uint64(now)
+            parts = [(own[need == c], flips[c]) for c in range(rounds)]
+            fps = np.concatenate([np.repeat(x, len(f)) for x, f in parts])
+            ks = np.concatenate([np.tile(f, len(x)) for x, f in parts])
             at = (variant(fps, ks, of) >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(at, kind="stable")
             stops = np.searchsorted(at[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -117,7 +134,7 @@ def exchange(distinct: DataFrame, of: tuple, buckets: int) -> DataFrame:
             cut = lambda x: pa.array([x[stops[k] : stops[k + 1]].tobytes() for k in full], pa.binary())  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), cut(fps), cut(ks)], ["bucket", "fps", "ks"])
 
-    tasks = max(1, buckets * ENTRIES // 30_000_000)
+    tasks = max(1, buckets * ENTRIES // 5_000_000)
     return distinct.select("fp").repartition(tasks).mapInArrow(run, "bucket int, fps binary, ks binary")
 
 
@@ -160,23 +177,26 @@ def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFr
     return packed.groupBy("bucket").applyInArrow(run, "a long, b long")
 
 
-def links(distinct: DataFrame, radius: int = 4, blocks: int = 1, keep: int = 1, crowd: int = 64) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 4, blocks: int = 1, keep: int = 1, crowd: int = 64, rounds: int = 8) -> DataFrame:
     """a, b: links that join any two of the distinct fingerprints (fp) within the radius, maybe through others."""
     if radius % 2:
         raise ValueError("the radius must be even, so that whoever meets in its middle is within it")
+    if blocks == 1:
+        return whole_links(distinct, radius, rounds)
     n = distinct.count()
     of = plan(radius, blocks, keep)
-    exact = blocks == 1
     packed = exchange(distinct, of, max(1, -(-n * len(of[0]) // ENTRIES)))
-    found = materialise(meet(packed, of, radius, None if exact else crowd), "simhash-links")
-    if not exact:
-        crowded = materialise(found.where("b is null").select(F.col("a").alias("fp")).distinct(), "simhash-crowds")
-        found = found.where("b is not null")
-        if many := crowded.count():
-            whole = plan(radius, 1, 1)
-            packed = exchange(crowded, whole, max(1, -(-many * len(whole[0]) // ENTRIES)))
-            found = found.unionByName(materialise(meet(packed, whole, radius, None), "simhash-crowd-links"))
-    return found
+    found = materialise(meet(packed, of, radius, crowd), "simhash-links")
+    crowded = materialise(found.where("b is null").select(F.col("a").alias("fp")).distinct(), "simhash-crowds")
+    return found.where("b is not null").unionByName(whole_links(crowded, radius, rounds))
+
+
+def whole_links(distinct: DataFrame, radius: int, rounds: int) -> DataFrame:
+    """By the variants over all bits. They are dealt with in rounds, which bounds what lies on disk at a time."""
+    of, n = plan(radius, 1, 1), distinct.count()
+    buckets = max(1, -(-n * len(of[0]) // (rounds * ENTRIES)))
+    found = [materialise(meet(exchange(distinct, of, buckets, rounds, now), of, radius, None), "simhash-links") for now in range(rounds if n else 1)]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def components(edges: DataFrame, u: str = "a", v: str = "b") -> DataFrame:

@@ -6,6 +6,8 @@ Parquet table there and reading it back, so a lost executor costs only its runni
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -77,13 +79,27 @@ def raw(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.view(kind).to_pylist()]
 
 
+def lean() -> None:
+    """Arrow's own allocator keeps what is freed; the system's gives it back."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+def trim() -> None:
+    """Gives freed memory back, as the worker may idle for long beside other stages."""
+    gc.collect()
+    if hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small(batches: Iterator[pa.RecordBatch], most: int = 16 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most about `most` bytes."""
+    lean()
     for b in batches:
         if b.num_rows:
             step = max(1, min(rows, int(b.num_rows * most / max(1, b.nbytes))))
             for i in range(0, b.num_rows, step):
                 yield b.slice(i, step)
+    trim()
 
 
 def uniform(keys: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise, raw, remove, small, uniform
+from .shared import lean, materialise, raw, remove, small, trim, uniform
 
 SEED = 42  # fixed value
 ENTRIES = 1_000_000  # variants in a bucket, about
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     """doc_id and fp, a long that holds the 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
+        for b in small(batches, 4 << 20):
             fps = np.array([majority(shingle_hashes(x, width)) for x in raw(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
@@ -143,6 +143,7 @@ def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFr
     whoever meets is linked."""
 
     def run(table: pa.Table) -> pa.Table:
+        lean()
         fps = np.frombuffer(b"".join(table["fps"].to_pylist()), np.uint64)
         keys = variant(fps, np.frombuffer(b"".join(table["ks"].to_pylist()), np.uint16), of)
         order = np.argsort(keys, kind="stable")
@@ -171,8 +172,9 @@ def meet(packed: DataFrame, of: tuple, radius: int, crowd: int | None) -> DataFr
                 a.append(fps[near])
                 b.append(fps[near + d])
         u, v = local_components(np.concatenate(a), np.concatenate(b))
-        out = pa.table({"a": pa.array(np.concatenate([u, crowded]).view(np.int64)), "b": pa.array(v.view(np.int64))if not len(crowded) else pa.array([*v.view(np.int64).tolist(), *[None] * len(crowded)], pa.int64())})
-        return out
+        del keys, fps, order, run_of
+        trim()
+        return pa.table({"a": pa.array(np.concatenate([u, crowded]).view(np.int64)), "b": pa.array(v.view(np.int64)) if not len(crowded) else pa.array([*v.view(np.int64).tolist(), *[None] * len(crowded)], pa.int64())})
 
     return packed.groupBy("bucket").applyInArrow(run, "a long, b long")
 

@@ -39,22 +39,38 @@ def items(v: Column, path: str = "$") -> Column:
 def listed(v: Column, path: str = "$") -> Column:
     """A list's elements, anything else as a list of one, nothing as an empty list."""
     part = at(v, path)
-    return F.when(part.isNull() | F.is_variant_null(part), F.array().cast("array<variant>")).otherwise(F.coalesce(items(part), F.array(part)))
+    return F.coalesce(items(v, path), F.when(~F.is_variant_null(part), F.array(part)), F.array().cast("array<variant>"))
 
 
 def is_object(v: Column) -> Column:
-    return form(v) == "OBJECT"
+    """Whether a value is an object; a cast tells it without a look at what it holds."""
+    return F.try_variant_get(v, "$", "struct<_:int>").isNotNull()
+
+
+def object_text(c: Column) -> Column:
+    """Whether a JSON text is an object's."""
+    return c.startswith("{")
+
+
+def texts(c: Column) -> Column:
+    """The elements of a JSON list as texts: objects and lists as JSON, others bare. One parse, in generated code."""
+    return F.from_json(c, "array<string>")
+
+
+def text_at(c: Column, path: str) -> Column:
+    """The text of a scalar in a JSON text; null for an object or a list."""
+    found = F.get_json_object(c, path)
+    return F.when(~found.rlike(r"^[\[{]"), found)
 
 
 def present(v: Column) -> Column:
     """Not absent, null, blank, [] or {}; 0 and false are values."""
-    text = F.to_json(v)
-    return v.isNotNull() & ~F.is_variant_null(v) & ~text.isin('""', "[]", "{}")
+    return ~F.coalesce(F.to_json(v), F.lit("null")).isin("null", '""', "[]", "{}")
 
 
 def truthy(v: Column) -> Column:
     """What counts as given where alternatives are tried in turn: not 0 and not false either."""
-    return present(v) & ~F.to_json(v).isin("0", "0.0", "false")
+    return ~F.coalesce(F.to_json(v), F.lit("null")).isin("null", '""', "[]", "{}", "0", "0.0", "false")
 
 
 def empty_json(c: Column) -> Column:

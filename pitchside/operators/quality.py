@@ -28,25 +28,34 @@ def completeness(opportunities: DataFrame, reference: date, days: int = 5) -> Da
     return recent.groupBy("dataset_url", "feed_id").agg(F.count("*").alias("total_items"), *((F.count_if(has[k]) / F.count("*") * 100).alias(f"{k}_completeness") for k in COMPLETE))
 
 
-def has_key(keys: Column, prop: str, category: str) -> Column:
-    return F.arrays_overlap(keys, F.array(*map(F.lit, (prop, *specs.alternatives(category, prop)))))
+def with_aliases(keys: Column, category: Column) -> Column:
+    """An item's keys and the properties that they stand for."""
+    out = [keys]
+    for (own, prop), names in specs.ALTERNATIVES.items():
+        fits = F.arrays_overlap(keys, F.array(*map(F.lit, names)))
+        fits = fits if own is None else fits & (category == own)
+        out.append(F.when(fits, F.array(F.lit(prop))).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.concat(*out))
 
 
 def version_scores(items: DataFrame) -> DataFrame:
-    """feed columns, version, ordinal, score, required_pct, recommended_pct: means over a feed's items. items: dataset_url, feed_id,
-    category, keys (the payload's). The sums over properties are expressions of one pass; nothing is joined."""
+    """feed columns, category, version, ordinal, score, required_pct, recommended_pct: means over a feed's items. items: dataset_url,
+    feed_id, category, keys (the payload's). Scores are sums over properties, so items are first reduced to how many
+    of a feed have each property, and the specifications are expressions over those few rows."""
+    by = ["dataset_url", "feed_id", "category"]
+    totals = items.groupBy(*by).agg(F.count("*").alias("n"))
+    props = items.select(*by, F.explode(with_aliases(F.col("keys"), F.col("category"))).alias("prop")).groupBy(*by, "prop").agg(F.count("*").alias("hits"))
+    seen = props.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("prop", "hits"))).alias("seen"))
+    feeds = totals.join(seen, by, "left").withColumn("seen", F.coalesce("seen", F.create_map().cast("map<string,bigint>")))
     structs = []
     for category in specs.SPECS:
         for k, version in enumerate(specs.versions(category)):
             own = specs.properties(category, version)
-            hit = {p: F.when(has_key(F.col("keys"), p, category), 1).otherwise(0) for p in own}
-            score = sum((hit[p] * (specs.WEIGHTS[s][0] - specs.WEIGHTS[s][1]) + specs.WEIGHTS[s][1] for p, s in own.items()), F.lit(0))
-            parts = {s: sum((hit[p] for p in own if own[p] == s), F.lit(0)) for s in ("required", "recommended")}
-            totals = {s: sum(x == s for x in own.values()) for s in parts}
-            structs.append(F.struct(F.lit(category).alias("c"), F.lit(version).alias("version"), F.lit(k).alias("ordinal"), score.alias("score"), *(parts[s].alias(s) for s in parts), *(F.lit(totals[s]).alias(f"{s}_total") for s in parts)))
-    rows = items.select("dataset_url", "feed_id", "category", F.explode(F.array(*structs)).alias("s")).where("s.c = category")
-    share = lambda s: F.coalesce(F.try_divide(F.sum(f"s.{s}"), F.sum(f"s.{s}_total")), F.lit(0.0)) * 100
-    return rows.groupBy("dataset_url", "feed_id", "category", "s.version", "s.ordinal").agg(F.avg("s.score").alias("score"), share("required").alias("required_pct"), share("recommended").alias("recommended_pct"))
+            share = {p: F.coalesce(F.try_element_at("seen", F.lit(p)), F.lit(0)) / F.col("n") for p in own}
+            score = sum((share[p] * (specs.WEIGHTS[s][0] - specs.WEIGHTS[s][1]) + specs.WEIGHTS[s][1] for p, s in own.items()), F.lit(0.0))
+            parts = {s: sum((share[p] for p in own if own[p] == s), F.lit(0.0)) / max(1, sum(x == s for x in own.values())) * 100 for s in ("required", "recommended")}
+            structs.append(F.when(F.col("category") == category, F.struct(F.lit(version).alias("version"), F.lit(k).alias("ordinal"), score.alias("score"), *(parts[s].alias(f"{s}_pct") for s in parts))))
+    return feeds.select(*by, F.explode(F.array_compact(F.array(*structs))).alias("s")).select(*by, "s.*")
 
 
 def item_categories(samples: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: i
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][: 7 + with_ids])
 
-        for batch in small(batches, 3 << 20):
+        for batch in small(batches, 6 << 20):
             ids, counts = model.encode(batch.column(1).to_pylist(), end)
             buffer, at = memoryview(ids.astype("<u4").tobytes()), 0
             for doc_id, total in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):

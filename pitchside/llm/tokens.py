@@ -2,8 +2,9 @@
 
 Byte-level BPE splits a text before it merges, and never merges over a single space between two characters that
 are not white space. So a text is cut there, distinct pieces go to the tokenizers library, and their ids are put
-together; a text with a space that is not safe to cut at goes to the library whole. When the memo holds `most`
-pieces, only those used again stay, which bounds a worker's memory.
+together; a text with a space that is not safe to cut at goes to the library whole. Pieces are found again by a 64-bit
+hash, their first eight bytes and their length. When the memo holds `most` pieces, only those used again stay, which
+bounds a worker's memory.
 """
 
 from __future__ import annotations
@@ -17,15 +18,6 @@ from itertools import chain
 import numpy as np
 
 
-class Memo(dict):
-    """Numbers its keys as they are asked for; `fresh` lists the new ones. A text's first piece is a tuple's only item."""
-
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        self.fresh.append(key)
-        return n
-
-
 @contextmanager
 def tokenizer(path: str, idle: float = 4.0) -> Iterator[MemoTokenizer]:
     """The one that this process already has, with what it has learnt, or a new one. It is let go when no task has
@@ -44,8 +36,27 @@ def tokenizer(path: str, idle: float = 4.0) -> Iterator[MemoTokenizer]:
     timer.start()
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, long: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each slice of the bytes with its salt, and its first eight bytes. data: with eight bytes more than the slices reach."""
+    words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    out = (long.astype(np.uint64) << np.uint64(1) | salt.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    first = np.zeros(len(starts), np.uint64)
+    live, at = np.flatnonzero(long > 0), 0
+    while len(live):
+        left = np.minimum(long[live] - at, 8).astype(np.uint64)
+        word = words[starts[live] + at] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        if at == 0:
+            first[live] = word
+        h = (out[live] ^ word) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0x94D049BB133111EB)
+        out[live] = h ^ h >> np.uint64(32)
+        at += 8
+        live = live[long[live] > at]
+    return out, first
+
+
 class MemoTokenizer:
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 2_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -55,18 +66,19 @@ class MemoTokenizer:
             self.model.model._resize_cache(0)  # the memo stands before it
         self.feed = self.model.token_to_id("Ċ")  # a line feed, as byte-level vocabularies write it
         self.most = most
-        self.known = Memo()
-        self.uses = np.zeros(0, np.int64)
-        self.starts = np.zeros(1, np.int64)  # of each known piece in ids, and the end
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and whose they are
+        # of each piece: its first bytes, its length and whether it begins a text, its uses, if it is unsafe, where its ids begin
+        self.first, self.shape, self.uses, self.unsafe = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint16)
-        self.unsafe = np.zeros(0, bool)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for i in range(0, len(texts), 4096) for e in self.model.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
 
-    def learn(self, fresh: list) -> None:
-        odd = [(not x[0] or x[0][-1].isspace()) if type(x) is tuple else (not x or x[0].isspace() or x[-1].isspace()) for x in fresh]
-        pieces = [x[0] if type(x) is tuple else " " + x for x in fresh]
+    def learn(self, pieces: list[str], heads: list[bool]) -> None:
+        """Ids of new pieces, which come without the space before them; heads have none."""
+        odd = [not x or x[-1].isspace() or not head and x[0].isspace() for x, head in zip(pieces, heads, strict=True)]
+        pieces = [x if head else " " + x for x, head in zip(pieces, heads, strict=True)]
         # many pieces at a time, parted by a line feed, which is an id of its own between them
         alone = [k for k, x in enumerate(pieces) if odd[k] or "\n" in x or not x]
         parted = np.ones(len(pieces), bool)
@@ -91,7 +103,7 @@ class MemoTokenizer:
             ids = out
         self.ids = np.concatenate([self.ids, ids])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(long)])
-        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int32)])
         self.unsafe = np.concatenate([self.unsafe, np.array(odd, bool)])
 
     def forget(self, least: int) -> None:
@@ -99,30 +111,63 @@ class MemoTokenizer:
         keep = self.uses >= least
         long = np.diff(self.starts)
         self.ids = self.ids[np.repeat(keep, long)]
-        self.known = Memo((x, k) for k, x in enumerate(x for x, y in zip(self.known, keep.tolist(), strict=True) if y))
         self.starts = np.concatenate([[0], np.cumsum(long[keep])])
-        self.uses, self.unsafe = self.uses[keep] // 2, self.unsafe[keep]
+        stay = keep[self.numbers]
+        self.keys, self.numbers = self.keys[stay], (np.cumsum(keep, dtype=np.int32) - 1)[self.numbers[stay]]
+        self.first, self.shape, self.unsafe, self.uses = self.first[keep], self.shape[keep], self.unsafe[keep], self.uses[keep] // 2
 
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """ids (uint16, each text's followed by `end`) and each text's number of ids."""
         least = 2
-        while len(self.known) > self.most:
+        while len(self.keys) > self.most:
             self.forget(least)
             least *= 2
-        split = [x.split(" ") if x else [] for x in texts]
-        for own in split:
-            if own:
-                own[0] = (own[0],)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        self.known.fresh = []
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        if self.known.fresh:
-            self.learn(self.known.fresh)
-        self.uses += np.bincount(at, minlength=len(self.uses))
+        full = [k for k, x in enumerate(texts) if x]
+        raw = [texts[k].encode() for k in full]
+        buffer = b" ".join(raw) + b" " * 8
+        data = np.frombuffer(buffer, np.uint8)
+        size = max(0, len(buffer) - 8)
+        begin = np.cumsum([0, *(len(x) + 1 for x in raw)])[:-1] if raw else np.zeros(0, np.int64)
+        stops = np.append(np.flatnonzero(data[:size] == 32), size) if raw else np.zeros(0, np.int64)
+        starts = np.concatenate([[0], stops[:-1] + 1]) if raw else stops
+        heads = np.searchsorted(starts, begin)
+        counts = np.zeros(len(texts), np.int64)
+        counts[full] = np.diff(np.append(heads, len(starts)))
+        head = np.zeros(len(starts), bool)
+        head[heads] = True
+        size = stops - starts
+        keys, first = hashes(data, starts, size, head)
+        shape = (size << 1 | head).astype(np.uint32)
+        # each distinct key once, in order
+        order = np.argsort(keys)
+        ranked = keys[order]
+        new = np.ones(len(ranked), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        group = np.empty(len(keys), np.int64)
+        group[order] = np.cumsum(new) - 1
+        ranked, some = ranked[new], order[new]
+        place = np.searchsorted(self.keys, ranked)
+        known = np.zeros(len(ranked), bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == ranked[inside]
+        number = np.zeros(len(ranked), np.int32)
+        number[known] = self.numbers[place[known]]
+        if not known.all():
+            fresh = some[~known]
+            number[~known] = np.arange(len(self.first), len(self.first) + len(fresh))
+            pieces = [buffer[a:b].decode() for a, b in zip(starts[fresh].tolist(), stops[fresh].tolist(), strict=True)]
+            self.learn(pieces, head[fresh].tolist())
+            self.first, self.shape = np.concatenate([self.first, first[fresh]]), np.concatenate([self.shape, shape[fresh]])
+            self.keys = np.insert(self.keys, place[~known], ranked[~known])
+            self.numbers = np.insert(self.numbers, place[~known], number[~known])
+        at = number[group]
+        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         ends = np.cumsum(counts)
         long = self.starts[at + 1] - self.starts[at]
-        sums = np.concatenate([[0], np.cumsum(self.unsafe[at])])
-        direct = np.flatnonzero((sums[ends] > sums[ends - counts]) & (counts > 1)).tolist()
+        other = (self.first[at] != first) | (self.shape[at] != shape)  # another piece of the same hash
+        bad = np.concatenate([[0], np.cumsum(self.unsafe[at])])
+        wrong = np.concatenate([[0], np.cumsum(other)])
+        direct = np.flatnonzero(((bad[ends] > bad[ends - counts]) & (counts > 1)) | (wrong[ends] > wrong[ends - counts])).tolist()
         for k in direct:
             long[ends[k] - counts[k] : ends[k]] = 0
         total = np.concatenate([[0], np.cumsum(long)])

@@ -114,8 +114,63 @@ def verdicts(docs: DataFrame, host: str = "source", most: int = 25, least_share:
     return out.select("doc_id", "host", "text_hash", "text_crc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"), "removed_words", "kept")
 
 
-def cleaned(docs: DataFrame, host: str = "source", **options) -> DataFrame:
-    """The kept documents, without their shared lines, in the columns of `docs`."""
+def cleaned(docs: DataFrame, host: str = "source", most: int = 25, least_share: float = 0.3, least_words: int = 10, in_memory: int = 1_000_000) -> DataFrame:
+    """The kept documents, without their shared lines, in the columns of `docs`. Up to `in_memory` shared lines (16 bytes each)
+    go to every task, which then needs no shuffle of texts; more are met by a join with the verdicts."""
+    shared = materialise(shared_lines(materialise(statistics(docs, host), "rules-stats"), most), "rules-lines")
+    if shared.count() > in_memory:
+        return joined(docs, host, most=most, least_share=least_share, least_words=least_words)
+    rows = shared.select("host", "line", "first_doc").collect()
+    keys = np.array([host_line(r["host"], r["line"]) for r in rows], np.uint64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    # a line whose documents have no id has no first one
+    firsts = np.array([NONE if r["first_doc"] is None else r["first_doc"] for r in rows], np.int64)[order]
+    names = list(docs.columns)
+    at, own, at_host, chars = names.index("text"), names.index("doc_id"), names.index(host), names.index("n_chars") if "n_chars" in names else None
+
+    def keep(text: bytes, doc: int, site: str | None) -> tuple[bool, bytes | None]:
+        """Whether a document stays, and its text if that changes."""
+        n_words, _, _, _, n_repeat, hashes, counts = measure(text)
+        if n_words < 10 or 100 * n_repeat > 20 * n_words:
+            return False, None
+        if not len(keys) or not hashes:
+            return True, None
+        found = np.array([host_line(site, h) for h in hashes], np.uint64)
+        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        gone = (keys[place] == found) & (firsts[place] != doc)
+        if not gone.any():
+            return True, None
+        left = n_words - sum(n for n, x in zip(counts, gone.tolist(), strict=True) if x)
+        if left < least_words or left < least_share * n_words:
+            return False, None
+        removed = iter(gone.tolist())
+        return True, b"\n".join(x for x in text.split(b"\n") if not (x.split() and next(removed)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches, 4 << 20):
+            ids = b.column(own).cast(pa.int64()).fill_null(NONE).to_pylist()
+            said = [keep(*x) for x in zip(raw(b.column(at).cast(pa.string())), ids, b.column(at_host).cast(pa.string()).to_pylist(), strict=True)]
+            columns = list(b.columns)
+            if any(new is not None for _, new in said):
+                texts = [old if new is None else new.decode() for old, (_, new) in zip(columns[at].to_pylist(), said, strict=True)]
+                columns[at] = pa.array(texts, columns[at].type)
+                if chars is not None:
+                    columns[chars] = pa.array([n if new is None else len(t) for n, t, (_, new) in zip(columns[chars].to_pylist(), texts, said, strict=True)], columns[chars].type)
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array([x for x, _ in said], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+NONE = -(1 << 63)  # stands for a null doc_id
+
+
+def host_line(host: str | None, line: int) -> int:
+    return xxhash.xxh64_intdigest(b"" if host is None else b"h" + host.encode(), line % (1 << 64))
+
+
+def joined(docs: DataFrame, host: str, **options) -> DataFrame:
+    """As `cleaned`, by a join of the texts with the verdicts that differ from keeping them as they are."""
     given = [f"rules_{k}" for k in range(len(docs.columns))]  # no clash with other columns
     own = docs.toDF(*given)
     id_, text, source = (own[given[docs.columns.index(c)]] for c in ("doc_id", "text", host))

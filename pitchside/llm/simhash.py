@@ -233,12 +233,17 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, **options)
     return fps.join(classes, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents that name their component, one row each, in the columns of `docs`."""
+def one_of_each(docs: DataFrame, in_memory: int = 1_000_000, **options) -> DataFrame:
+    """The documents that name their component, one row each, in the columns of `docs`. Up to `in_memory` ids that go (8 bytes
+    each) are sent to every task, which then needs no shuffle of texts; more are met by a join."""
     classes = materialise(near_duplicates(docs, **options), "simhash-verdicts")
-    stay = classes.where("component_id is null or doc_id = component_id").groupBy(F.col("doc_id").alias("kept_doc_id")).count()
-    stay = materialise(stay, "simhash-kept")
-    out = docs.join(stay.select("kept_doc_id"), docs["doc_id"].cast("bigint").eqNullSafe(stay["kept_doc_id"]), "left_semi")
-    if stay.where("count > 1").limit(1).count():  # an id on several rows: one row of it stays
-        out = out.dropDuplicates(["doc_id"])
+    go = classes.where("not doc_id <=> component_id").select(F.col("doc_id").alias("gone_doc_id")).distinct()
+    go = materialise(go, "simhash-gone")
+    side = F.broadcast(go) if go.count() <= in_memory else go
+    out = docs.join(side, docs["doc_id"].cast("bigint").eqNullSafe(go["gone_doc_id"]), "left_anti")
+    kept = classes.where("doc_id <=> component_id").groupBy("doc_id").count()
+    if kept.where("count > 1 and doc_id is not null").limit(1).count():  # an id on several rows: one row of it stays
+        out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null").limit(1))
+    elif kept.where("count > 1").limit(1).count():
+        out = out.where("doc_id is not null").unionByName(out.where("doc_id is null").limit(1))
     return out

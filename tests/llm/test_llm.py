@@ -152,9 +152,10 @@ def test_shared_lines(spark):
     got = {r.doc_id: r for r in rules.verdicts(docs, most=5).collect()}
     assert {k for k, r in got.items() if r.removed_words} == {1, 2, 3, 4, 5, 10, 11, 12}
     assert {k for k, r in got.items() if not r.kept} == {10, 11, 12}
-    left = {r.doc_id: r for r in rules.cleaned(docs, most=5).collect()}
-    assert sorted(left) == sorted(set(got) - {10, 11, 12})
-    assert "every page" in left[0].text and "every page" not in left[1].text and left[1].n_chars == len(left[1].text)
+    for bound in (1000, 0):  # with the shared lines in memory, and by a join
+        left = {r.doc_id: r for r in rules.cleaned(docs, most=5, in_memory=bound).collect()}
+        assert sorted(left) == sorted(set(got) - {10, 11, 12})
+        assert "every page" in left[0].text and "every page" not in left[1].text and left[1].n_chars == len(left[1].text)
 
 
 # --- 3
@@ -266,8 +267,9 @@ def test_a_long_chain(spark):
     assert got == {k: 0 for k in range(1, 201)} | {501: 500}
 
 
-def test_one_of_each(odd):
-    kept = simhash.one_of_each(odd)
+@pytest.mark.parametrize("bound", [1000, 0])
+def test_one_of_each(odd, bound):
+    kept = simhash.one_of_each(odd, bound)
     assert kept.columns == odd.columns
     texts = [r.text for r in kept.collect()]
     assert texts.count(LONG) == 1 and sum((t or "").lower().split() == ["one", "two", "three"] for t in texts) == 1

@@ -140,3 +140,19 @@ def test_sessions(spark):
     rows = [(1, at + dt.timedelta(minutes=m)) for m in (0, 10, 50, 100)]
     got = S.session_counts(table(spark, rows, "u int, ts timestamp"), "ts", ["u"]).orderBy("session_start").collect()
     assert [r.events for r in got] == [2, 1, 1]
+
+
+def test_field_usage_run(spark):
+    from pitchside.config import EngineConfig
+    from pitchside.plans import field_usage as plan
+
+    rows = [("d", "f", str(k), "Event", json.dumps({"name": 1, "extra": 1} if k else {"name": 1, "place": {"@type": "Odd", "x": 1}})) for k in range(4)]
+    rows = table(spark, rows, "dataset_url string, feed_id string, id string, kind string, json_data string")
+    model = table(spark, [("Event", "name", "required"), ("Event", "url", "required")], "category string, field string, model_status string")
+    feeds = table(spark, [("d", "P")], "dataset_url string, publisher_name string")
+    got = plan.run(rows, feeds, model, {"Event": "Event"}, {}, EngineConfig(dt.date(2026, 1, 1)))
+    assert {(r.field, r.presence_pct, r.classification) for r in got.model.collect()} == {("name", 100.0, "COMMON"), ("url", 0.0, "UNUSED")}
+    assert {(r.field, r.presence_pct) for r in got.extensions.collect()} == {("extra", 75.0), ("place", 25.0)}
+    assert [(r.type, r.field) for r in got.discovered.collect()] == [("Odd", "x")]
+    assert {(r.type, r.publisher_name, tuple(r.absent or ())) for r in got.datasets.collect()} == {("Event", "P", ("url",)), ("Odd", "P", ())}
+    assert "| url | required | 0 | 0.0 | UNUSED |" in got.report()

@@ -35,6 +35,20 @@ def test_source(spark, tmp_path):
     assert [(r.feed_id, r.id, r.state, r.modified, r.status) for r in rows] == [("one", "1", "updated", 5, "COMPLETE"), ("one", "2", "deleted", 6, "COMPLETE"), ("two", None, None, None, "ERROR")]
 
 
+def test_stream_moves_a_page_at_a_time(tmp_path):
+    for url, page in PAGES.items():
+        (tmp_path / f"{quote(url, safe='')}.json").write_text(json.dumps(page))
+    stream = rpde.FeedStream({"urls": json.dumps({"one": "http://f/a"}), "folder": str(tmp_path)})
+    at, seen = stream.initialOffset(), []
+    for _ in range(4):
+        rows, end = stream.read(at)
+        rows = list(rows)
+        assert list(stream.readBetweenOffsets(at, end)) == rows  # a batch can be repeated
+        seen += [r[4] for r in rows]
+        at = end
+    assert (seen, at) == (["1", "2"], {"one": "http://f/a3"})
+
+
 @given(st.integers(0, 2**40), st.text("abc123", min_size=1), st.sampled_from(["http://h/x", "http://h/x?y=1"]))
 def test_cursor_round_trip(number, word, url):
     assert rpde.cursor_of(rpde.start_url(url, number=number)) == (None, None, number)

@@ -18,6 +18,9 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
+made: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder's URI below ``spark.checkpoint.dir``; if that is unset, a local run gets a temporary
     folder and a cluster the warehouse folder."""
@@ -27,7 +30,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = f"file://{tempfile.gettempdir()}/checkpoints" if local else spark.conf.get("spark.sql.warehouse.dir")
     if "://" not in base and not base.startswith("file:"):
         base = f"file://{base}"
-    return f"{base.rstrip('/')}/pitchside-{name}-{uuid.uuid4().hex}"
+    made.append(f"{base.rstrip('/')}/pitchside-{name}-{uuid.uuid4().hex}")
+    return made[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this driver has put in the shared folder. Results that still read it must have been written before."""
+    while made:
+        remove(spark, made.pop())
 
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

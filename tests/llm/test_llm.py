@@ -499,6 +499,20 @@ def test_shards(odd, docs, none):
     assert sharding.assign(none).count() == 0
 
 
+def test_shared_folders_can_be_released(spark):
+    from pitchside.llm import shared
+
+    kept = list(shared.made)
+    shared.made.clear()
+    df = materialise(spark.range(5).withColumn("a", F.lit("x")), "test")
+    assert df.count() == 5
+    at, folder = shared.filesystem(shared.made[0])
+    assert at.get_file_info(folder).type.name == "Directory"
+    shared.release(spark)
+    assert at.get_file_info(folder).type.name == "NotFound" and shared.made == []
+    shared.made.extend(kept)
+
+
 # --- the pipeline
 
 

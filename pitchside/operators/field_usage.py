@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import payload as P
 
 DEPTH = 6
 LEFT_OUT = ("@context", "@type", "type")
@@ -118,7 +117,7 @@ def absent_fields(walked: DataFrame, model: DataFrame, category_of: Mapping[str,
 def exact_presence(opportunities: DataFrame, fields: Mapping[str, tuple[str, ...]]) -> DataFrame:
     """kind, field, instances_with, total_instances over all rows, for the fields of each kind. A key with a null counts."""
     names = sorted({f for own in fields.values() for f in own})
-    keys = P.keys(P.variant(F.col("json_data")))
+    keys = F.json_object_keys("json_data")
     rows = opportunities.where(F.col("kind").isin(*fields)).select("kind", F.coalesce(keys, F.array().cast("array<string>")).alias("keys"))
     wide = rows.groupBy("kind").agg(F.count("*").alias("total_instances"), *(F.count_if(F.array_contains("keys", f)).alias(f) for f in names))
     pairs = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("instances_with")) for f in names))

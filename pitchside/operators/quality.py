@@ -61,9 +61,10 @@ def version_scores(items: DataFrame) -> DataFrame:
 def item_categories(samples: DataFrame) -> DataFrame:
     """dataset_url, feed_id, feed_type, category, keys of sampled items (json_data, feed_type). The feed's type says the
     category; where that is Event, the most common type of the items may say another (the first of equals)."""
-    v = P.variant(F.col("json_data"))
-    kind = F.coalesce(F.nullif(P.scalar(F.get(P.listed(v, "$['@type']"), F.lit(0))), F.lit("")), F.nullif(P.scalar(F.get(P.listed(v, "$.type"), F.lit(0))), F.lit("")), F.lit(""))
-    rows = samples.select("dataset_url", "feed_id", "feed_type", "seq", kind.alias("kind"), F.filter(P.keys(v), lambda k: k != "@context").alias("keys")).where("keys is not null")
+    types = F.from_json("json_data", "`@type` string, type string")
+    first = lambda c: F.nullif(F.when(c.startswith("["), F.get(P.texts(c), F.lit(0))).otherwise(c), F.lit(""))
+    rows = samples.withColumn("_t", types).select("dataset_url", "feed_id", "feed_type", "seq", F.coalesce(first(F.col("_t.@type")), first(F.col("_t.type")), F.lit("")).alias("kind"), F.filter(F.json_object_keys("json_data"), lambda k: k != "@context").alias("keys"))
+    rows = rows.where("keys is not null")
     per_kind = rows.groupBy("dataset_url", "feed_id", "kind").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
     common = per_kind.groupBy("dataset_url", "feed_id").agg(F.max_by("kind", F.struct("n", (-F.col("first")).alias("f"))).alias("common"))
     category = lambda c: F.coalesce(F.create_map(*(F.lit(x) for kv in specs.CATEGORY_OF.items() for x in kv))[F.trim(c)], F.lit("Event"))
@@ -96,14 +97,16 @@ def detect_versions(items: DataFrame, scores: DataFrame, least_required: float =
 
 def missing_required(samples: DataFrame) -> DataFrame:
     """dataset_url, feed_id, kind, missing: properties that no sampled payload of the kind has a value for."""
-    v = P.variant(F.col("json_data"))
+    names = sorted({p for own in specs.REQUIRED_BY_KIND.values() for p in own})
+    # texts of all wanted properties from one parse; JSON null and absent ones are null
+    read = samples.where("kind is not null").withColumn("_p", F.from_json("json_data", ", ".join(f"`{n}` string" for n in [*names, "type"])))
 
     def given(name: str) -> Column:
-        path = f"$['{name}']"
-        return P.present(P.at(v, path)) | (P.present(P.at(v, "$.type")) if name == "@type" else F.lit(False))
+        own = F.col("_p")[name]
+        has = own.isNotNull() & ~own.isin("", "[]", "{}")
+        return has | given("type") if name == "@type" else has
 
-    names = sorted({p for own in specs.REQUIRED_BY_KIND.values() for p in own})
-    rows = samples.where("kind is not null").select("dataset_url", "feed_id", F.trim("kind").alias("kind"), *(F.coalesce(given(p), F.lit(False)).alias(p) for p in names))
+    rows = read.select("dataset_url", "feed_id", F.trim("kind").alias("kind"), *(F.coalesce(given(p), F.lit(False)).alias(p) for p in names))
     has = rows.groupBy("dataset_url", "feed_id", "kind").agg(*(F.bool_or(f"`{p}`").alias(p) for p in names))
     out = F.lit(None).cast("array<string>")
     for kind, own in specs.REQUIRED_BY_KIND.items():

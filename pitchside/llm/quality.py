@@ -5,7 +5,7 @@ says which class it resembles; that difference and the compressed share of the t
 curve, fitted to labelled texts that are in neither dictionary.
 
 The model is fitted on the driver from at most `sample` labelled rows of each class (those of least hash of doc_id), of texts up
-to `longest` bytes. Scoring reads every whole text, on the executors, without a shuffle.
+to `longest` bytes, so what the driver gets is bounded by their product. Scoring reads every whole text, on the executors, without a shuffle.
 
 Defined cases: a null text is an empty one; an empty text gets the curve's value for no evidence; with labels of
 one class only, or too few for a dictionary, every score is the share of label 1 (0.5 without labels); repeated rows are scored each for
@@ -72,7 +72,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2, r
     return at
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 17, size: int = 1 << 16, chunk: int = 1024) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 15, size: int = 1 << 16, chunk: int = 1024) -> Model:
     """learn: which rows of `labels` (doc_id, quality) may be learnt from."""
     labels = labels.select(F.col("doc_id").cast("bigint"), F.col("quality").cast("int").alias("label")).where(learn & F.col("label").isin(0, 1)).distinct()
     shares = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}

@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import lean, materialise, raw, remove, small, trim, uniform
@@ -57,15 +57,17 @@ def majority(hashes: list[int], step: int = 1 << 16) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0]) if hashes else 0
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and fp, a long that holds the 64 bits."""
+def fingerprints(docs: DataFrame, width: int = 4, mark: Column | None = None) -> DataFrame:
+    """doc_id and fp, a long that holds the 64 bits; with `mark`, also that column (a long) of the documents."""
+    names = ["doc_id", "fp", *(["mark"] if mark is not None else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 4 << 20):
             fps = np.array([majority(shingle_hashes(x, width)) for x in raw(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *([mark.alias("mark")] if mark is not None else []))
+    return rows.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def plan(radius: int, blocks: int, keep: int, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,28 +224,41 @@ def components(edges: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def grouped(fps: DataFrame, least: Column, radius: int, **options) -> DataFrame:
+    """`fps` with `first`: the smallest `least` that links reach."""
+    distinct = materialise(fps.groupBy("fp").agg(F.min(least).alias("rep")), "simhash-distinct")
+    roots = components(links(distinct, radius, **options))
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    reps = rooted.groupBy("root").agg(F.min("rep").alias("first"))
+    classes = materialise(rooted.join(reps, "root").select(F.col("fp").alias("of"), "first"), "simhash-classes")
+    return fps.join(classes, F.col("fp") == F.col("of")).drop("of")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, **options) -> DataFrame:
     """doc_id, fp, component_id: the smallest doc_id that links reach."""
     fps = materialise(fingerprints(docs, width), "simhash")
-    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
-    roots = components(links(distinct, radius, **options))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    reps = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = materialise(rooted.join(reps, "root").select(F.col("fp").alias("of"), "component_id"), "simhash-classes")
-    return fps.join(classes, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
-
-
-def one_of_each(docs: DataFrame, in_memory: int = 1_000_000, **options) -> DataFrame:
-    """The documents that name their component, one row each, in the columns of `docs`. Up to `in_memory` ids that go (8 bytes
-    each) are sent to every task, which then needs no shuffle of texts; more are met by a join."""
-    classes = materialise(near_duplicates(docs, **options), "simhash-verdicts")
-    go = classes.where("not doc_id <=> component_id").select(F.col("doc_id").alias("gone_doc_id")).distinct()
-    go = materialise(go, "simhash-gone")
-    side = F.broadcast(go) if go.count() <= in_memory else go
-    out = docs.join(side, docs["doc_id"].cast("bigint").eqNullSafe(go["gone_doc_id"]), "left_anti")
-    kept = classes.where("doc_id <=> component_id").groupBy("doc_id").count()
-    if kept.where("count > 1 and doc_id is not null").limit(1).count():  # an id on several rows: one row of it stays
-        out = out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null").limit(1))
-    elif kept.where("count > 1").limit(1).count():
-        out = out.where("doc_id is not null").unionByName(out.where("doc_id is null").limit(1))
+    return grouped(fps, F.col("doc_id"), radius, **options).select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, in_memory: int = 1_000_000, radius: int = 4, width: int = 4, **options) -> DataFrame:
+    """One row of each component, in the columns of `docs`: of the smallest doc_id (null is the largest), then fingerprint,
+    then hash of the text, then the other columns. Rows are told apart by doc_id and a 64-bit hash of doc_id and text, so an id on
+    several texts, or none, stands for each of them alone. Up to `in_memory` keys that go (16 bytes each) are sent to every task,
+    which then needs no shuffle of texts; more are met by a join."""
+    mark = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    fps = materialise(fingerprints(docs, width, mark), "simhash")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "mark")
+    verdicts = materialise(grouped(fps, own, radius, **options).select(F.coalesce("doc_id", F.lit(0)).alias("key_id"), F.col("mark").alias("key_mark"), (own == F.col("first")).alias("stays")), "simhash-verdicts")
+
+    def join(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        met = (F.coalesce(rows["doc_id"].cast("bigint"), F.lit(0)) == keys["key_id"]) & (F.xxhash64(rows["doc_id"].cast("bigint"), rows["text"].cast("string")) == keys["key_mark"])
+        return rows.join(F.broadcast(keys) if keys.count() <= in_memory else keys, met, how)
+
+    go = materialise(verdicts.where("not stays").select("key_id", "key_mark").distinct(), "simhash-gone")
+    out = join(docs, go, "left_anti")
+    again = materialise(verdicts.where("stays").groupBy("key_id", "key_mark").count().where("count > 1").select("key_id", "key_mark"), "simhash-again")
+    if again.limit(1).count():  # a text on several rows of its id: one row of it stays
+        row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        one = join(out, again, "left_semi").groupBy(F.col("doc_id").cast("bigint").alias("key_id"), mark.alias("key_mark")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+        out = join(out, again, "left_anti").unionByName(one.select("row.*"))
     return out

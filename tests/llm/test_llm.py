@@ -275,6 +275,18 @@ def test_one_of_each(odd, bound):
     assert texts.count(LONG) == 1 and sum((t or "").lower().split() == ["one", "two", "three"] for t in texts) == 1
 
 
+@pytest.mark.parametrize("bound", [1000, 0])
+def test_one_of_each_group_whatever_the_ids(spark, bound):
+    text = lambda k: " ".join(f"g{k}x{i}" for i in range(40))
+    rows = [(None, text(1), "a"), (None, text(2), "a"), (None, text(2), "a"), (None, text(3), "a"), (3, text(3), "a")]  # no ids, one a copy of an id'd text
+    rows += [(0, text(0), "a"), (4, text(4), "a"), (4, text(5), "a"), (4, text(5), "b"), (4, text(5), "a")]  # an id on two texts, one of them thrice
+    rows += [(6, text(6), "a"), (7, text(6), "a"), (7, text(7), "a"), (8, text(8), "a"), (9, text(8), "a"), (9, text(9), "a"), (9, text(9), "a")]  # 7 and 9: a copy of another's, and a text of its own
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key_id string")
+    got = sorted(((r.doc_id, r.text, r.key_id) for r in simhash.one_of_each(docs, bound).collect()), key=lambda r: r[1])
+    ids = {0: 0, 1: None, 2: None, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9}
+    assert got == [(i, text(k), "a") for k, i in ids.items()]
+
+
 # --- 5
 
 

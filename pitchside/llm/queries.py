@@ -36,7 +36,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram import scores
 
-    return scores(table(spark, sf_dir, "documents"), ~learnt(7, 2))
+    return scores(table(spark, sf_dir, "documents"), ~learnt(7, 2), least_word=1, least_pair=1)  # every learnt pair
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

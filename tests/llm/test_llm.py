@@ -453,6 +453,24 @@ def test_probabilities_add_up(docs):
         assert math.isclose((10 ** (whole - alone)).sum() + unknown, 1, rel_tol=1e-9)
 
 
+def test_query_counts_every_pair(spark, tmp_path):
+    """Words and pairs that training holds once have their arcs."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    out, inside = [i for i in range(100) if held(i)][:2], [i for i in range(100) if not held(i)][:3]
+    rare = [f"rare{k}" for k in range(20)]
+    texts = dict(zip(inside, (rare, ["some", "other", "words"], ["more", "words"]), strict=True)) | dict(zip(out, (rare, rare[::-1]), strict=True))
+    spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op8_ngram(spark, str(tmp_path)).collect()}
+    own = [[*texts[i], ""] for i in inside]
+    count, pairs = collections.Counter(w for t in own for w in t), collections.Counter(p for t in own for p in zip(["", *t], t, strict=False))
+    n, v = sum(count.values()), len(count)
+    for i, t in texts.items():
+        types = collections.Counter(u for u, _ in pairs)
+        chance = [(0.75 * types[a] / count[a]) * (count[b] + 1) / (n + v + 1) + max(0, pairs[a, b] - 0.75) / count[a] for a, b in zip(["", *t], [*t, ""], strict=True)]
+        assert math.isclose(got[i].score, sum(map(math.log10, chance)), rel_tol=1e-9)
+    assert got[out[0]].score > got[out[0]].base_score and got[out[0]].score > got[out[1]].score
+
+
 # --- 9
 
 

@@ -4,8 +4,10 @@ A text is cut into chunks, each is compressed with either dictionary, and the no
 says which class it resembles; that difference and the compressed share of the text become a score by a logistic
 curve, fitted to labelled texts that are in neither dictionary.
 
-The model is fitted on the driver from at most `sample` labelled rows of each class (those of least hash of doc_id), of texts up
-to `longest` bytes, so what the driver gets is bounded by their product. Scoring reads every whole text, on the executors, without a shuffle.
+The model is fitted on the driver from at most `sample` labelled rows of each class (those of least hash of doc_id). Of a text of more
+than `longest` bytes it gets chunks of that many bytes together, spread evenly from the text's beginning to its end, so what the driver gets is
+bounded by the product, and no text is left out for its length. From twice `chunks` chunks of a class on, its dictionary is made from every
+second, third and so on, so that `chunks` or more stay. Scoring reads every whole text, on the executors, without a shuffle.
 
 Defined cases: a null text is an empty one; an empty text gets the curve's value for no evidence; with labels of
 one class only, or too few for a dictionary, every score is the share of label 1 (0.5 without labels); repeated rows are scored each for
@@ -72,7 +74,15 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2, r
     return at
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 15, size: int = 1 << 16, chunk: int = 1024) -> Model:
+def spread(text: bytes, longest: int, chunk: int) -> bytes:
+    """A text of up to `longest` bytes as it is; of a longer one, chunks of so many bytes from all over it, the first and last among them."""
+    if len(text) <= longest:
+        return text
+    n = max(2, longest // chunk)
+    return b"".join(text[i : i + chunk] for i in ((len(text) - chunk) * k // (n - 1) for k in range(n)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 15, size: int = 1 << 16, chunk: int = 1024, chunks: int = 20_000) -> Model:
     """learn: which rows of `labels` (doc_id, quality) may be learnt from."""
     labels = labels.select(F.col("doc_id").cast("bigint"), F.col("quality").cast("int").alias("label")).where(learn & F.col("label").isin(0, 1)).distinct()
     shares = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
@@ -80,16 +90,22 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, l
     for label in (0, 1):  # ids only, and no more than `sample`
         own = labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = own if chosen is None else chosen.unionByName(own)
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where(F.octet_length("text").between(1, longest))
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where(F.octet_length("text") > 0)
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", F.xxhash64("doc_id", "text").alias("h"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([spread(x, longest, chunk) for x in raw(b.column(2))], pa.binary())], ["label", "h", "text"])
+
+    rows = rows.mapInArrow(run, "label int, h long, text binary")
     rows = sorted(map(tuple, rows.orderBy("h").limit(4 * sample).collect()), key=lambda r: (r[1], r[0], r[2]))
     prior = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
     none = Model(None, np.array([prior]))
-    cut = {label: [r[2].encode() for r in rows if r[0] == label] for label in (0, 1)}
+    cut = {label: [bytes(r[2]) for r in rows if r[0] == label] for label in (0, 1)}
     found = []
     for label in (0, 1):
         half = [t[i : i + chunk] for t in cut[label][::2] for i in range(0, len(t), chunk)]
-        half = half[:: max(1, len(half) // 20_000)]
+        half = half[:: max(1, len(half) // chunks)]
         if len(half) < 16 or len(cut[label]) < 8:
             return none
         try:

@@ -496,6 +496,22 @@ def test_classifier_without_labels(spark, odd):
     assert {r.score for r in quality.with_scores(odd, one).collect()} == {1.0}
 
 
+def test_classifier_on_long_texts(spark):
+    """Labelled texts that are all longer than the driver gets still teach, and from all over."""
+    rng = random.Random(2)
+    text = lambda k: " ".join(rng.choice(("alpha", "beta", "gamma", "delta") if k % 2 else ("one", "two", "three", "four")) + str(rng.randint(0, 99)) for _ in range(6000))
+    rows = [(k, text(k)) for k in range(48)]
+    assert min(len(t) for _, t in rows) > 1 << 15
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels, F.col("doc_id") < 40)
+    assert model.dictionaries is not None
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 1) for r in quality.with_scores(docs, model).where("doc_id >= 40").collect())
+    long = b"".join(b"%07d " % k for k in range(20_000))
+    part = quality.spread(long, 1 << 15, 1024)
+    assert len(part) == 1 << 15 and part[:1024] == long[:1024] and part[-1024:] == long[-1024:] and quality.spread(long[:500], 1 << 15, 1024) == long[:500]
+
+
 # --- 10
 
 

@@ -117,4 +117,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM f""",
+    # words and lines of whole texts, five-word windows, lines by host
+    "op2_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+        g AS (SELECT r, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
+        h AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4]) AS c FROM g),
+        n AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM h, range(5) AS t(k) WHERE c > 1 GROUP BY r),
+        l AS (SELECT r, doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+        m AS (SELECT r, doc_id, host, text, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM l),
+        s AS (SELECT r, doc_id, host, text, line, len(ws) AS n, translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM m WHERE len(ws) > 0),
+        dup AS (SELECT r, sum(k - 1) AS n_dup_lines FROM (SELECT r, line, count(*) AS k FROM s GROUP BY r, line) GROUP BY r),
+        x AS (SELECT host, norm, count(DISTINCT (doc_id, text)) AS docs, count(DISTINCT text) AS texts FROM s GROUP BY host, norm),
+        f AS (SELECT host, text, min(doc_id) AS first FROM d GROUP BY host, text),
+        gone AS (SELECT s.r, sum(s.n) AS removed_words FROM s JOIN x ON s.host IS NOT DISTINCT FROM x.host AND s.norm = x.norm JOIN f ON s.host IS NOT DISTINCT FROM f.host AND s.text = f.text
+                 WHERE docs > 25 AND NOT (texts <= 25 AND s.doc_id IS NOT DISTINCT FROM first) GROUP BY s.r),
+        a AS (SELECT w.r, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
+              FROM w LEFT JOIN n USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r)),
+        b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_words - removed_words AS l FROM a)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words, NOT base_failed AND NOT (removed_words > 0 AND (l < 10 OR l < 0.3 * n_words)) AS kept FROM b""",
 }

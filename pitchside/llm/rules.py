@@ -1,30 +1,34 @@
 """Quality rules: counts over each whole text, and lines that too many documents of a host share.
 
 Lines are normalised (ASCII letters in lower case, runs of white space as one space) and hashed; for each host and line the
-distinct texts that hold it are counted, so exact copies count once. A line of more than `most` texts is removed from
-all documents but the one of the smallest doc_id, and a document is rejected as depleted if that leaves it less than `least_share` of its words
-or fewer than `least_words`. Hashes and counts are shuffled, never texts, but for rewritten ones.
+distinct documents that hold it are counted. A line of more than `most` documents is removed from all of them, and a document is
+rejected as depleted if that leaves it less than `least_share` of its words or fewer than `least_words`. Where only copies bring a line above
+the limit (`most` distinct texts or fewer hold it), the document of the smallest id with each text keeps it, so that a group of copies leaves one.
+Hashes and counts are shuffled; texts are once, in `cleaned`, to meet what is removed from them, by the same plan at every size.
 
 Defined cases: a null text has no words and fails the base rules; null is a host of its own; a null doc_id stays
-null; rows that repeat an id and a text share their verdict; empty and white lines are neither counted nor removed;
-an empty table gives no rows; `removed_lines` carries the text without its shared lines.
+null and is a document for each text (the first of a text's copies only where none has an id); rows that repeat an id, a host and a text are one document and share
+their verdict; rows of one id with different texts are documents of their own; empty and white lines are neither counted nor removed; a very
+long text is one row, held whole; an empty table gives no rows; columns with names like those used here are left alone by `cleaned`, which
+gives kept rows with all their columns (and `n_chars`, if there, counted anew where lines went).
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialise, raw, small
 
 SYMBOLS = b"#*$%&|<>"  # fixed value
-STATS = "doc_id long, host string, text_hash long, text_crc long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, line_hashes array<long>, line_words array<int>"
+STATS = "doc_id long, host string, text_hash long, mark long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, line_hashes array<long>, line_words array<int>"
+NAMES = [x.split()[0] for x in STATS.split(", ")]
+KEY = ("doc_id", "mark")  # of a document; the mark is a hash of id, host and text
 
 
 def line_hash(words: list[bytes]) -> int:
@@ -66,134 +70,83 @@ def measure(text: bytes) -> tuple:
     return len(words), chars, symbols, n_dup, repeated(words), hashes, counts
 
 
+def mark_of(doc_id: Column, host: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id.cast("bigint"), F.coalesce(host.cast("string"), F.lit("")), host.isNull(), F.coalesce(text.cast("string"), F.lit("")))
+
+
 def statistics(docs: DataFrame, host: str = "source") -> DataFrame:
     """A row per document, with the hashes and word counts of its lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches, 4 << 20):
-            texts = raw(b.column(2))
-            columns = list(zip(*map(measure, texts), strict=True))
+            columns = list(zip(*map(measure, raw(b.column(4))), strict=True))
             kinds = [pa.int64()] * 5 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
-            hashes = pa.array([xxhash.xxh64_intdigest(x) - (1 << 63) for x in texts], pa.int64())
-            crcs = pa.array([zlib.crc32(x) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), hashes, crcs, *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], STATS_NAMES)
-
-    return docs.select(F.col("doc_id").cast("bigint"), F.col(host).cast("string").alias("host"), F.col("text").cast("string")).mapInArrow(run, STATS)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], *(pa.array(x, k) for x, k in zip(columns, kinds, strict=True))], NAMES)
 
+    id_, site, text = F.col("doc_id").cast("bigint"), F.col(host).cast("string"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(id_.alias("doc_id"), site.alias("host"), F.xxhash64(text).alias("text_hash"), mark_of(id_, site, text).alias("mark"), text.alias("text")).mapInArrow(run, STATS)
 
-STATS_NAMES = [x.split()[0] for x in STATS.split(", ")]
 
-
-def shared_lines(stats: DataFrame, most: int) -> DataFrame:
-    """host, line, n_texts and first_doc, for the lines that more than `most` distinct texts of a host hold."""
-    lines = stats.select("host", "doc_id", "text_hash", "text_crc", F.explode(F.array_distinct("line_hashes")).alias("line"))
-    texts = lines.groupBy("host", "line", "text_hash", "text_crc").agg(F.min("doc_id").alias("doc_id"))
-    return texts.groupBy("host", "line").agg(F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc")).where(F.col("n_texts") > most)
+def shared_lines(stats: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Lines that more than `most` documents of a host hold (host, line, few: whether that many texts or fewer do), and the
+    documents that keep the lines of few texts (host, text_hash, first_id). A line is counted by text first, so one that a large part of a host holds is many groups."""
+    lines = stats.select("host", "doc_id", "mark", "text_hash", F.explode(F.array_distinct("line_hashes")).alias("line")).distinct()
+    texts = materialise(lines.groupBy("host", "line", "text_hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")), "rules-lines")
+    found = texts.groupBy("host", "line").agg(F.sum("n").alias("n_documents"), (F.count("*") <= most).alias("few")).where(F.col("n_documents") > most)
+    found = materialise(found.select("host", "line", "few"), "rules-shared")
+    few = found.where("few").select(F.col("host").alias("of"), F.col("line").alias("held"))
+    spared = texts.join(few, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("held")), "left_semi").select("host", "text_hash", "first_id").distinct()
+    return found, spared
 
 
 def verdicts(docs: DataFrame, host: str = "source", most: int = 25, least_share: float = 0.3, least_words: int = 10) -> DataFrame:
-    """doc_id, text_hash, the counts, base_failed, removed (line hashes), removed_words, kept."""
+    """doc_id, host, mark, the counts, base_failed, removed (line hashes), removed_words, kept."""
     stats = materialise(statistics(docs, host), "rules-stats")
-    shared = materialise(shared_lines(stats, most), "rules-lines").withColumnRenamed("host", "of")
-    zipped = F.explode(F.arrays_zip("line_hashes", "line_words")).alias("z")
-    lines = stats.select("doc_id", "host", "text_hash", "text_crc", zipped).select("doc_id", "host", "text_hash", "text_crc", F.col("z.line_hashes").alias("line"), F.col("z.line_words").alias("words"))
-    lines = lines.groupBy("doc_id", "host", "text_hash", "text_crc", "line").agg(F.sum("words").alias("words"), F.count("*").alias("times"))
-    hit = lines.join(shared, F.col("host").eqNullSafe(F.col("of")) & (lines["line"] == shared["line"]) & ~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    own = hit.groupBy("doc_id", "host", "text_hash", "text_crc").agg(F.collect_list(lines["line"]).alias("removed"), F.sum("words").alias("gone"))
-    # rows that repeat an id and a text are one group above, so their counts are of all their rows
-    again = stats.groupBy("doc_id", "host", "text_hash", "text_crc").agg(F.count("*").alias("copies")).where("copies > 1")
+    shared, spared = shared_lines(stats, most)
+    z = F.explode(F.arrays_zip("line_hashes", "line_words")).alias("z")
+    lines = stats.select(*KEY, "host", "text_hash", z).select(*KEY, "host", "text_hash", F.col("z.line_hashes").alias("line"), F.col("z.line_words").alias("words"))
+    shared = shared.select(F.col("host").alias("of"), F.col("line").alias("held"), "few")
+    hit = lines.join(shared, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("held"))).drop("of", "held")
+    first = spared.select(F.col("host").alias("of"), F.col("text_hash").alias("t"), "first_id", F.lit(True).alias("spared"))
+    hit = hit.join(first, F.col("few") & F.col("host").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
+    hit = hit.where("spared is null").groupBy(*KEY, "line").agg(F.sum("words").alias("words"))
+    own = hit.groupBy(*KEY).agg(F.collect_list("line").alias("removed"), F.sum("words").alias("gone"))
+    # rows that repeat a document are one group above, so their counts are of all their rows
+    again = stats.groupBy(*KEY).agg(F.count("*").alias("copies")).where("copies > 1")
     for other, names in ((own, ("removed", "gone")), (again, ("copies",))):
-        other = other.select(*names, *(F.col(c).alias(f"o_{c}") for c in ("doc_id", "host", "text_hash", "text_crc")))
-        same = F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & F.col("host").eqNullSafe(F.col("o_host")) & (F.col("text_hash") == F.col("o_text_hash")) & (F.col("text_crc") == F.col("o_text_crc"))
-        stats = stats.join(other, same, "left").drop("o_doc_id", "o_host", "o_text_hash", "o_text_crc")
+        other = other.select(*names, F.col("doc_id").alias("o_id"), F.col("mark").alias("o_mark"))
+        stats = stats.join(other, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("mark") == F.col("o_mark")), "left").drop("o_id", "o_mark")
     gone = F.coalesce(F.floor(F.col("gone") / F.coalesce("copies", F.lit(1))), F.lit(0)).cast("bigint")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < least_words) | (left < least_share * F.col("n_words")))
     out = stats.withColumn("removed_words", gone).withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~depleted)
-    return out.select("doc_id", "host", "text_hash", "text_crc", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"), "removed_words", "kept")
-
-
-def cleaned(docs: DataFrame, host: str = "source", most: int = 25, least_share: float = 0.3, least_words: int = 10, in_memory: int = 1_000_000) -> DataFrame:
-    """The kept documents, without their shared lines, in the columns of `docs`. Up to `in_memory` shared lines (16 bytes each)
-    go to every task, which then needs no shuffle of texts; more are met by a join with the verdicts."""
-    shared = materialise(shared_lines(materialise(statistics(docs, host), "rules-stats"), most), "rules-lines")
-    if shared.count() > in_memory:
-        return joined(docs, host, most=most, least_share=least_share, least_words=least_words)
-    rows = shared.select("host", "line", "first_doc").collect()
-    keys = np.array([host_line(r["host"], r["line"]) for r in rows], np.uint64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    # a line whose documents have no id has no first one
-    firsts = np.array([NONE if r["first_doc"] is None else r["first_doc"] for r in rows], np.int64)[order]
-    names = list(docs.columns)
-    at, own, at_host, chars = names.index("text"), names.index("doc_id"), names.index(host), names.index("n_chars") if "n_chars" in names else None
-
-    def keep(text: bytes, doc: int, site: str | None) -> tuple[bool, bytes | None]:
-        """Whether a document stays, and its text if that changes."""
-        n_words, _, _, _, n_repeat, hashes, counts = measure(text)
-        if n_words < 10 or 100 * n_repeat > 20 * n_words:
-            return False, None
-        if not len(keys) or not hashes:
-            return True, None
-        found = np.array([host_line(site, h) for h in hashes], np.uint64)
-        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-        gone = (keys[place] == found) & (firsts[place] != doc)
-        if not gone.any():
-            return True, None
-        left = n_words - sum(n for n, x in zip(counts, gone.tolist(), strict=True) if x)
-        if left < least_words or left < least_share * n_words:
-            return False, None
-        removed = iter(gone.tolist())
-        return True, b"\n".join(x for x in text.split(b"\n") if not (x.split() and next(removed)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches, 4 << 20):
-            ids = b.column(own).cast(pa.int64()).fill_null(NONE).to_pylist()
-            said = [keep(*x) for x in zip(raw(b.column(at).cast(pa.string())), ids, b.column(at_host).cast(pa.string()).to_pylist(), strict=True)]
-            columns = list(b.columns)
-            if any(new is not None for _, new in said):
-                texts = [old if new is None else new.decode() for old, (_, new) in zip(columns[at].to_pylist(), said, strict=True)]
-                columns[at] = pa.array(texts, columns[at].type)
-                if chars is not None:
-                    columns[chars] = pa.array([n if new is None else len(t) for n, t, (_, new) in zip(columns[chars].to_pylist(), texts, said, strict=True)], columns[chars].type)
-            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array([x for x, _ in said], pa.bool_()))
+    return out.select(*KEY, "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"), "removed_words", "kept")
 
-    return docs.mapInArrow(run, docs.schema)
 
-
-NONE = -(1 << 63)  # stands for a null doc_id
-
-
-def host_line(host: str | None, line: int) -> int:
-    return xxhash.xxh64_intdigest(b"" if host is None else b"h" + host.encode(), line % (1 << 64))
-
-
-def joined(docs: DataFrame, host: str, **options) -> DataFrame:
-    """As `cleaned`, by a join of the texts with the verdicts that differ from keeping them as they are."""
-    given = [f"rules_{k}" for k in range(len(docs.columns))]  # no clash with other columns
-    own = docs.toDF(*given)
-    id_, text, source = (own[given[docs.columns.index(c)]] for c in ("doc_id", "text", host))
-    # copies of an id have the same verdict, so one row per id, host and text is enough
-    said = verdicts(docs, host, **options)
-    changed = (~F.col("kept") | (F.size("removed") > 0))
-    said = materialise(said.where(changed).groupBy("doc_id", "host", "text_hash", "text_crc").agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")), "rules-verdicts")
-    key = F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
-    both = own.join(said, id_.cast("bigint").eqNullSafe(said["doc_id"]) & source.cast("string").eqNullSafe(said["host"]) & (key == said["text_crc"]), "left")
-    both = both.where(F.coalesce("kept", F.lit(True))).select(*given, "removed")
+def cleaned(docs: DataFrame, host: str = "source", **options) -> DataFrame:
+    """The kept documents, without their shared lines, in the columns of `docs`. Verdicts other than to keep a text as it is meet the texts
+    in a merge join on the document's key, whatever their number."""
     names = list(docs.columns)
+    given = [f"rules_{k}" for k in range(len(names))]  # no clash with other columns
+    own = docs.toDF(*given)
     at, chars, last = names.index("text"), names.index("n_chars") if "n_chars" in names else None, len(names)
+    id_, text, site = (F.col(given[names.index(c)]) for c in ("doc_id", "text", host))
+    said = verdicts(docs, host, **options).where(~F.col("kept") | (F.size("removed") > 0))
+    said = materialise(said.groupBy(*KEY).agg(F.first("kept").alias("kept"), F.first("removed").alias("removed")), "rules-verdicts")
+    both = own.join(said.hint("merge"), (F.coalesce(id_.cast("bigint"), F.lit(0)) == F.coalesce("doc_id", F.lit(0))) & (mark_of(id_, site, text) == F.col("mark")), "left")
+    both = both.where(F.coalesce("kept", F.lit(True))).select(*given, "removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
+        for b in small(batches, 4 << 20):
             removed = b.column(last).to_pylist()
             columns = list(b.columns[:-1])
             if any(removed):
-                texts = b.column(at).to_pylist()
+                texts = columns[at].to_pylist()
                 for k, gone in enumerate(removed):
                     if gone:
                         gone = set(gone)
-                        texts[k] = "\n".join(x for x in texts[k].split("\n") if not (own := x.encode().split()) or line_hash(own) not in gone)
+                        texts[k] = "\n".join(x for x in texts[k].split("\n") if not (words := x.encode().split()) or line_hash(words) not in gone)
                 columns[at] = pa.array(texts, columns[at].type)
                 if chars is not None:
                     columns[chars] = pa.array([len(t) if gone else n for t, gone, n in zip(texts, removed, columns[chars].to_pylist(), strict=True)], columns[chars].type)

@@ -240,25 +240,26 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4, **options)
     return grouped(fps, F.col("doc_id"), radius, **options).select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, in_memory: int = 1_000_000, radius: int = 4, width: int = 4, **options) -> DataFrame:
+def one_of_each(docs: DataFrame, radius: int = 4, width: int = 4, **options) -> DataFrame:
     """One row of each component, in the columns of `docs`: of the smallest doc_id (null is the largest), then fingerprint,
-    then hash of the text, then the other columns. Rows are told apart by doc_id and a 64-bit hash of doc_id and text, so an id on
-    several texts, or none, stands for each of them alone. Up to `in_memory` keys that go (16 bytes each) are sent to every task,
-    which then needs no shuffle of texts; more are met by a join."""
+    then hash of the text, then the other columns as JSON. Rows are told apart by doc_id and a 64-bit hash of doc_id and text, so an id on
+    several texts, or none, stands for each of them alone; rows that repeat an id and a text are one document. Which stay is decided on
+    these keys, and meets the texts in a merge join, whatever their number. No rows give no rows; columns of any name are kept."""
     mark = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     fps = materialise(fingerprints(docs, width, mark), "simhash")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "mark")
-    verdicts = materialise(grouped(fps, own, radius, **options).select(F.coalesce("doc_id", F.lit(0)).alias("key_id"), F.col("mark").alias("key_mark"), (own == F.col("first")).alias("stays")), "simhash-verdicts")
+    stay = grouped(fps, own, radius, **options).where(own == F.col("first"))
+    stay = stay.groupBy(F.coalesce("doc_id", F.lit(0)).alias("key_id"), F.col("mark").alias("key_mark")).agg(F.count("*").alias("n"))
+    stay = materialise(stay, "simhash-stay")
 
-    def join(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        met = (F.coalesce(rows["doc_id"].cast("bigint"), F.lit(0)) == keys["key_id"]) & (F.xxhash64(rows["doc_id"].cast("bigint"), rows["text"].cast("string")) == keys["key_mark"])
-        return rows.join(F.broadcast(keys) if keys.count() <= in_memory else keys, met, how)
+    def met(keys: DataFrame) -> DataFrame:
+        fits = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(0)) == keys["key_id"]) & (F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string")) == keys["key_mark"])
+        return docs.join(keys.hint("merge"), fits, "left_semi")
 
-    go = materialise(verdicts.where("not stays").select("key_id", "key_mark").distinct(), "simhash-gone")
-    out = join(docs, go, "left_anti")
-    again = materialise(verdicts.where("stays").groupBy("key_id", "key_mark").count().where("count > 1").select("key_id", "key_mark"), "simhash-again")
-    if again.limit(1).count():  # a text on several rows of its id: one row of it stays
+    out = met(stay.where("n = 1"))
+    again = stay.where("n > 1")
+    if again.limit(1).count():  # a document on several rows: one of them stays
         row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-        one = join(out, again, "left_semi").groupBy(F.col("doc_id").cast("bigint").alias("key_id"), mark.alias("key_mark")).agg(F.min_by(row, F.to_json(row)).alias("row"))
-        out = join(out, again, "left_anti").unionByName(one.select("row.*"))
+        one = met(again).groupBy(F.col("doc_id").cast("bigint").alias("key_id"), mark.alias("key_mark")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+        out = out.unionByName(one.select("row.*"))
     return out

@@ -158,20 +158,63 @@ def test_base_rules(odd, docs):
             assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) in by_id[r.doc_id]
 
 
-def test_shared_lines(spark):
+def brute_verdicts(rows, most, least_share=0.3, least_words=10):
+    """Removed words, lines and whether a document is kept, by (doc_id, host, text)."""
+    lower = {c: c + 32 for c in range(65, 91)}
+    normal = lambda line: b" ".join(words(line.translate(lower)))
+    documents = {(i, t or "", h) for i, t, h in rows}
+    holders = collections.defaultdict(set)
+    for i, t, h in documents:
+        for line in t.split("\n"):
+            if words(line):
+                holders[h, normal(line)].add((i, t))
+    out = {}
+    for i, t, h in documents:
+        gone, n = set(), 0
+        first = min((j for j, u, g in documents if (u, g) == (t, h) and j is not None), default=None)
+        for line in t.split("\n"):
+            own = holders.get((h, normal(line)), set())
+            if words(line) and len(own) > most and not (len({u for _, u in own}) <= most and i == first):
+                n += len(words(line))
+                gone.add(normal(line))
+        left = len(words(t)) - n
+        failed = brute_rules(t)[-1]
+        out[i, t, h] = n, gone, not failed and not (n and (left < least_words or left < least_share * len(words(t))))
+    return out
+
+
+def check_verdicts(docs, most):
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    want = brute_verdicts(rows, most)
+    got = rules.verdicts(docs, most=most).collect()
+    assert collections.Counter((r.doc_id, r.host, r.removed_words, r.kept) for r in got) == collections.Counter((i, h, want[i, t or "", h][0], want[i, t or "", h][2]) for i, t, h in rows)
+    lower = {c: c + 32 for c in range(65, 91)}
+    strip = lambda t, gone: "\n".join(x for x in t.split("\n") if b" ".join(words(x.translate(lower))) not in gone or not words(x)) if gone else t
+    left = rules.cleaned(docs, most=most)
+    assert left.columns == docs.columns
+    assert collections.Counter((r.doc_id, r.source, r.text) for r in left.collect()) == collections.Counter((i, h, strip(t or "", want[i, t or "", h][1])) for i, t, h in rows if want[i, t or "", h][2])
+    return want
+
+
+def test_shared_lines(spark, none):
     own = lambda k: " ".join(f"w{k}x{i}" for i in range(20))
     rows = [(k, f"Shared  LINE of a site here {own(k)}\nthis line is on every page of it", "h") for k in range(6)]
-    rows += [(10 + k, "this line is on every page of it\n" + " ".join(f"t{k}x{i}" for i in range(8)), "h") for k in range(3)]  # little else
-    rows += [(20 + k, own(99), "h") for k in range(9)]  # copies are one text
-    rows += [(30, "this line is on every page of it\n" + own(30), "other")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
-    got = {r.doc_id: r for r in rules.verdicts(docs, most=5).collect()}
-    assert {k for k, r in got.items() if r.removed_words} == {1, 2, 3, 4, 5, 10, 11, 12}
-    assert {k for k, r in got.items() if not r.kept} == {10, 11, 12}
-    for bound in (1000, 0):  # with the shared lines in memory, and by a join
-        left = {r.doc_id: r for r in rules.cleaned(docs, most=5, in_memory=bound).collect()}
-        assert sorted(left) == sorted(set(got) - {10, 11, 12})
-        assert "every page" in left[0].text and "every page" not in left[1].text and left[1].n_chars == len(left[1].text)
+    rows += [(10 + k, "this Line is on every\tpage of it\n" + " ".join(f"t{k}x{i}" for i in range(8)), "h") for k in range(3)]  # little else
+    rows += [(20 + k, own(99), "h") for k in range(9)] + [(None, own(99), "h")]  # copies: one stays
+    rows += [(30, "this line is on every page of it\n" + own(30), "other"), (None, "this line is on every page of it\n" + own(31), None), (31, None, "h"), (31, " \n\n", "h")]
+    rows += [(40, own(40) + "\n" + own(41), "h"), (40, own(40) + "\n" + own(41), "h"), (40, own(42), "h"), (None, own(43), None), (None, own(43), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text")).withColumns({c: F.lit(1) for c in ("removed", "mark", "host", "kept", "rules_0")})
+    want = check_verdicts(docs, 5)
+    kept = {i for (i, t, _), v in want.items() if v[2] and t}
+    assert 20 in kept and not kept & {10, 11, 12, *range(21, 29)}
+    assert all("every page" not in r.text and r.n_chars == len(r.text) for r in rules.cleaned(docs, most=5).where("source = 'h'").collect())
+    assert rules.cleaned(none).count() == 0 and rules.cleaned(none).columns == none.columns
+
+
+@pytest.mark.parametrize("most", [1, 3, 25])
+def test_verdicts_on_odd_and_plain(odd, docs, most):
+    check_verdicts(odd, most)
+    check_verdicts(docs.select("doc_id", "text", "source"), most)
 
 
 # --- 3
@@ -283,22 +326,21 @@ def test_a_long_chain(spark):
     assert got == {k: 0 for k in range(1, 201)} | {501: 500}
 
 
-@pytest.mark.parametrize("bound", [1000, 0])
-def test_one_of_each(odd, bound):
-    kept = simhash.one_of_each(odd, bound)
+def test_one_of_each(odd, none):
+    kept = simhash.one_of_each(odd)
+    assert simhash.one_of_each(none).count() == 0
     assert kept.columns == odd.columns
     texts = [r.text for r in kept.collect()]
     assert texts.count(LONG) == 1 and sum((t or "").lower().split() == ["one", "two", "three"] for t in texts) == 1
 
 
-@pytest.mark.parametrize("bound", [1000, 0])
-def test_one_of_each_group_whatever_the_ids(spark, bound):
+def test_one_of_each_group_whatever_the_ids(spark):
     text = lambda k: " ".join(f"g{k}x{i}" for i in range(40))
     rows = [(None, text(1), "a"), (None, text(2), "a"), (None, text(2), "a"), (None, text(3), "a"), (3, text(3), "a")]  # no ids, one a copy of an id'd text
     rows += [(0, text(0), "a"), (4, text(4), "a"), (4, text(5), "a"), (4, text(5), "b"), (4, text(5), "a")]  # an id on two texts, one of them thrice
     rows += [(6, text(6), "a"), (7, text(6), "a"), (7, text(7), "a"), (8, text(8), "a"), (9, text(8), "a"), (9, text(9), "a"), (9, text(9), "a")]  # 7 and 9: a copy of another's, and a text of its own
     docs = spark.createDataFrame(rows, "doc_id long, text string, key_id string")
-    got = sorted(((r.doc_id, r.text, r.key_id) for r in simhash.one_of_each(docs, bound).collect()), key=lambda r: r[1])
+    got = sorted(((r.doc_id, r.text, r.key_id) for r in simhash.one_of_each(docs).collect()), key=lambda r: r[1])
     ids = {0: 0, 1: None, 2: None, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9}
     assert got == [(i, text(k), "a") for k, i in ids.items()]
 
@@ -410,6 +452,20 @@ def test_mix(odd, docs, none):
     assert copies.columns == skew.columns and copies.count() == sum(r.copies for r in mixing.mix(skew).collect())
 
 
+def test_mixed_documents_are_what_the_mix_takes(spark, odd):
+    rows = [(1, "same text of six words here", "a", "x")] * 41 + [(None, f"t{k % 3} b c", "a" if k % 2 else None, "y") for k in range(30)] + [(k, "w " * (k % 9), "b", str(k)) for k in range(60)] + [(2, "two", "b", "p"), (2, "two", "b", "q")]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string, source string, mixed_copies string"), odd.withColumn("key_id", F.lit(1))):
+        taken = collections.Counter()
+        for r in mixing.mix(df, fan=4, held=2).collect():
+            taken[r.doc_id, r.size, r.source] += r.copies
+        got = mixing.mixed_documents(df, fan=4, held=2)
+        assert got.columns == df.columns
+        got = got.collect()
+        assert collections.Counter((r.doc_id, len(words(r.text)), r.source) for r in got) == +taken
+        assert {tuple(r) for r in got} <= {tuple(r) for r in df.collect()}
+    assert mixing.times(spark.range(3).withColumn("n", F.lit(5)), F.col("n"), "k", 2).groupBy("id").agg(F.array_sort(F.collect_list("k")).alias("k")).collect()[0].k == [0, 1, 2, 3, 4]
+
+
 def test_mix_is_unbiased(spark):
     docs = spark.range(30).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 20, "a").otherwise("b").alias("source"), F.repeat(F.lit("w "), 10).alias("text"))
     seen = collections.Counter()
@@ -577,6 +633,22 @@ def test_shared_folders_can_be_released(spark):
     shared.made.extend(kept)
 
 
+# --- SQL twins
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_twin(spark, name):
+    import duckdb
+
+    db = duckdb.connect()
+    for table in ("documents", "pages"):
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    got, want = queries.QUERIES[name](spark, SF), db.sql(queries.ORACLE_SQL[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    columns = sorted(got.columns)
+    assert sorted(map(str, (tuple(r[c] for c in columns) for r in got.collect()))) == sorted(map(str, want.select(*columns).fetchall()))
+
+
 # --- the pipeline
 
 

@@ -156,3 +156,47 @@ def test_field_usage_run(spark):
     assert [(r.type, r.field) for r in got.discovered.collect()] == [("Odd", "x")]
     assert {(r.type, r.publisher_name, tuple(r.absent or ())) for r in got.datasets.collect()} == {("Event", "P", ("url",)), ("Odd", "P", ())}
     assert "| url | required | 0 | 0.0 | UNUSED |" in got.report()
+
+
+def test_only_named_parents_are_read(spark, tmp_path):
+    from pitchside.operators import inherit
+
+    ddl = "dataset_url string, feed_id string, id string, data_id string, kind string, has_superEvent string, has_subEvent string, json_data string"
+    stored = [("a", "f", "1", "p1", "SessionSeries", None, None, None), ("a", "f", "2", "p2", "SessionSeries", None, None, None), ("a", "f", "3", "u", "FacilityUse", None, None, '{"individualFacilityUse":[{"@id":"n1"}]}')]
+    stored += [(d, "f", f"{d}{k}", f"p{k}", "SessionSeries", None, None, None) for d in "bc" for k in range(50)] + [("b", "f", "u", "u", "FacilityUse", None, None, None)]
+    table(spark, stored, ddl).write.parquet(f"{tmp_path}/stored")
+    held = spark.read.parquet(f"{tmp_path}/stored")
+    batch = table(spark, [("a", "f", "9", "s", "Slot", '"n1"', None, None), ("a", "f", "8", "e", "Event", "p1", None, None), ("b", "f", "7", "e", "Slot", '"p3"', None, None), ("b", "f", "6", "g", "Event", '{"@id":"p4"}', None, None)], ddl)
+    named = inherit.named_parents(batch, held)
+    assert sorted((r.dataset_url, r.data_id) for r in named.collect()) == [("a", "p1"), ("a", "u"), ("b", "p3")]
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("LeftSemi") >= 2
+
+
+def test_places_of_nested_uses_have_their_own_areas(spark):
+    facility = {"@id": "f", "@type": "FacilityUse", "location": {"geo": {"latitude": 3, "longitude": 4}}, "individualFacilityUse": [{"@id": "f#1", "location": {"geo": {"latitude": 13, "longitude": 4}}}]}
+    slots = [{"@id": "s1", "@type": "Slot", "facilityUse": "f#1"}, {"@id": "s2", "@type": "Slot", "facilityUse": {"@id": "f", "location": {"geo": {"latitude": 23, "longitude": 4}}}}, {"@id": "s3", "@type": "Slot", "facilityUse": "f", "location": {}}]
+    items = table(spark, [("f", k, "updated", str(k), k, json.dumps(p)) for k, p in enumerate((facility, *slots))], "feed_id string, seq bigint, state string, id string, modified bigint, data string")
+    feeds = table(spark, [("f", "d", "p")], "id string, dataset_url string, publisher_name string")
+    box = lambda y: [[{"lng": 0.0, "lat": y}, {"lng": 9.0, "lat": y}, {"lng": 9.0, "lat": y + 9}, {"lng": 0.0, "lat": y + 9}]]
+    squares = table(spark, [(f"D{k}", f"C{k}", k, box(10.0 * k)) for k in range(3)], "area string, code string, ordinal int, rings array<array<struct<lng:double,lat:double>>>")
+    codes = table(spark, [("D1", "R1")], "district_name string, region_name string")
+    got = {r.data_id: r for r in ingest.ingest(spark.createDataFrame([], OPPORTUNITIES), items, feeds, {"district": squares}, districts=codes, keep_inherited=True).collect()}
+    assert [got[k].district_name for k in ("f", "s1", "s2", "s3")] == ["D0", "D1", "D2", "D0"] and got["s1"].region_name == "R1" and got["f"].region_name is None
+    assert got["s3"].location is None  # the payload has the key
+    assert json.loads(got["s2"].inherited_data).keys() == {"location"}
+    assert json.loads(got["s3"].inherited_data).keys() == {"individualFacilityUse"} and got["f"].inherited_data is None
+
+
+def test_written_tables_are_in_the_default_file_system(spark, tmp_path):
+    from pitchside import store
+
+    assert store.qualified(spark, "/a/b") == "file:/a/b" and store.qualified(spark, f"file://{tmp_path}/x").startswith("file:/")
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./checkpoints", f"file://{tmp_path}")
+    try:
+        assert store.qualified(spark, "/checkpoints/a") == "viewfs://cluster/checkpoints/a"
+    finally:
+        conf.set("fs.defaultFS", before)

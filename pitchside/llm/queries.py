@@ -83,10 +83,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mpegts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mpegts import read_streams, with_streams
+    from .mpegts import read_streams, stored
 
-    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return read_streams(with_streams(table(spark, sf_dir, "documents"))).select(*columns)
+    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "first_pts", "last_pts", "raps"]
+    return read_streams(stored(table(spark, sf_dir, "documents"))).select(*columns)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

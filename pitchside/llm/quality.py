@@ -1,17 +1,16 @@
 """A quality classifier by compression: one zstandard dictionary of good and one of bad labelled text.
 
 A text is cut into chunks, each is compressed with either dictionary, and the normalised difference of the summed sizes
-says which class it resembles; that difference and the compressed share of the text become a score by a logistic
-curve, fitted to labelled texts that are in neither dictionary.
+says which class it resembles; a logistic curve, fitted to labelled texts that are in neither dictionary, makes a score of it.
 
-The model is fitted on the driver from at most `sample` labelled rows of each class (those of least hash of doc_id). Of a text of more
-than `longest` bytes it gets chunks of that many bytes together, spread evenly from the text's beginning to its end, so what the driver gets is
-bounded by the product, and no text is left out for its length. From twice `chunks` chunks of a class on, its dictionary is made from every
-second, third and so on, so that `chunks` or more stay. Scoring reads every whole text, on the executors, without a shuffle.
+The model is fitted on the driver from at most `sample` labelled rows of each class (those of least hash of doc_id; of rows that share an id, that of least
+hash of the text). Of a text of more than `longest` bytes it gets chunks of that many bytes together, spread evenly from the text's beginning to its end, so what
+the driver gets is bounded by the product (2 * 3,000 * 8 KiB by default), and no text is left out for its length. Every other row of a class makes its dictionary,
+the rest the curve. Scoring reads every whole text, on the executors, without a shuffle.
 
 Defined cases: a null text is an empty one; an empty text gets the curve's value for no evidence; with labels of
-one class only, or too few for a dictionary, every score is the share of label 1 (0.5 without labels); repeated rows are scored each for
-itself; an empty table gives no rows.
+one class only, or too few for a dictionary, every score is the share of label 1 (0.5 without labels); a null doc_id has no label; a label of neither 0 nor 1 is none; an
+id with both labels teaches both; repeated rows are scored each for itself; an input column of the score's name is replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import raw, small
 
@@ -42,16 +42,13 @@ class Model:
         return [zstandard.ZstdCompressor(dict_data=x, level=self.level, write_content_size=False, write_dict_id=False) for x in found]
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """1, the difference, the same by how much text there is, the compressed share and its square."""
+        """1 and the normalised difference of the compressed sizes."""
         bad, good = (x.compress for x in self.compressors())
-        out = np.zeros((len(texts), 5))
-        out[:, 0] = 1
+        out = np.ones((len(texts), 2))
         for k, text in enumerate(texts):
-            if text:
-                cut = [text[i : i + self.chunk] for i in range(0, len(text), self.chunk)]
-                a, b = sum(len(bad(x)) for x in cut), sum(len(good(x)) for x in cut)
-                difference, share = 10 * (a - b) / (a + b), b / len(text)
-                out[k, 1:] = difference, difference * min(1.0, len(text) / self.chunk), share, share * share
+            cut = [text[i : i + self.chunk] for i in range(0, len(text), self.chunk)]
+            a, b = sum(len(bad(x)) for x in cut), sum(len(good(x)) for x in cut)
+            out[k, 1] = 10 * (a - b) / max(1, a + b)
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
@@ -82,7 +79,7 @@ def spread(text: bytes, longest: int, chunk: int) -> bytes:
     return b"".join(text[i : i + chunk] for i in ((len(text) - chunk) * k // (n - 1) for k in range(n)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 15, size: int = 1 << 16, chunk: int = 1024, chunks: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, longest: int = 1 << 13, size: int = 1 << 16, chunk: int = 1024) -> Model:
     """learn: which rows of `labels` (doc_id, quality) may be learnt from."""
     labels = labels.select(F.col("doc_id").cast("bigint"), F.col("quality").cast("int").alias("label")).where(learn & F.col("label").isin(0, 1)).distinct()
     shares = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
@@ -91,28 +88,27 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, l
         own = labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = own if chosen is None else chosen.unionByName(own)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where(F.octet_length("text") > 0)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("label", F.xxhash64("doc_id", "text").alias("h"), "text")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.xxhash64("doc_id", "text").alias("h"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([spread(x, longest, chunk) for x in raw(b.column(2))], pa.binary())], ["label", "h", "text"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([spread(x, longest, chunk) for x in raw(b.column(3))], pa.binary())], ["doc_id", "label", "h", "text"])
 
-    rows = rows.mapInArrow(run, "label int, h long, text binary")
-    rows = sorted(map(tuple, rows.orderBy("h").limit(4 * sample).collect()), key=lambda r: (r[1], r[0], r[2]))
+    rows = rows.mapInArrow(run, "doc_id long, label int, h long, text binary").groupBy("doc_id", "label").agg(F.min(F.struct("h", "text")).alias("r"))
+    rows = sorted(map(tuple, rows.select("label", "r.h", "r.text").collect()), key=lambda r: (r[1], r[0], r[2]))  # a row per chosen id at most
     prior = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
     none = Model(None, np.array([prior]))
     cut = {label: [bytes(r[2]) for r in rows if r[0] == label] for label in (0, 1)}
     found = []
     for label in (0, 1):
         half = [t[i : i + chunk] for t in cut[label][::2] for i in range(0, len(t), chunk)]
-        half = half[:: max(1, len(half) // chunks)]
         if len(half) < 16 or len(cut[label]) < 8:
             return none
         try:
             found.append(zstandard.train_dictionary(size, half).as_bytes())
         except zstandard.ZstdError:  # too little text: what there is, as it is
             found.append(b"".join(half)[-size:])
-    model = Model((found[0], found[1]), np.zeros(5), chunk)
+    model = Model((found[0], found[1]), np.zeros(2), chunk)
     rest = {label: cut[label][1::2] for label in (0, 1)}
     y = np.repeat([0.0, 1.0], [len(rest[0]), len(rest[1])])
     share = np.array([1 - prior, prior])
@@ -123,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = 3000, l
 
 def with_scores(docs: DataFrame, model: Model, keep_from: float | None = None, score: str | None = "score") -> DataFrame:
     """`docs` with a column of scores; with `keep_from`, only rows of that score or more. score: None adds no column."""
+    docs = docs.drop(score) if score else docs
     at = docs.columns.index("text")
     names = [*docs.columns, *([score] if score else [])]
 
@@ -133,5 +130,4 @@ def with_scores(docs: DataFrame, model: Model, keep_from: float | None = None, s
             b = pa.RecordBatch.from_arrays(columns, names)
             yield b if keep_from is None else b.filter(pa.array(scores >= keep_from))
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), *([f"`{score}` double"] if score else [])])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*docs.schema, *([T.StructField(score, T.DoubleType())] if score else [])]))

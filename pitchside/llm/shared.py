@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,27 +16,18 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-
-made: list[str] = []
+from .. import store
+from ..store import remove as remove
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI below ``spark.checkpoint.dir``; if that is unset, a local run gets a temporary
-    folder and a cluster the warehouse folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-        base = f"file://{tempfile.gettempdir()}/checkpoints" if local else spark.conf.get("spark.sql.warehouse.dir")
-    if "://" not in base and not base.startswith("file:"):
-        base = f"file://{base}"
-    made.append(f"{base.rstrip('/')}/pitchside-{name}-{uuid.uuid4().hex}")
-    return made[-1]
+    """A new folder's URI below ``spark.checkpoint.dir``, with the file system that it is in."""
+    return store.folder(spark, name)
 
 
 def release(spark: SparkSession) -> None:
     """Deletes what this driver has put in the shared folder. Results that still read it must have been written before."""
-    while made:
-        remove(spark, made.pop())
+    store.release(spark)
 
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -55,15 +45,12 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, uri: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a URI, on the driver as on executors."""
+    """The file system and path of a URI, on the driver as on executors. Hadoop's names for S3 are those of one store."""
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
     return pafs.FileSystem.from_uri(uri)
 
 

@@ -203,6 +203,12 @@ def whole_links(distinct: DataFrame, radius: int, rounds: int) -> DataFrame:
     return reduce(DataFrame.unionByName, found).distinct()
 
 
+def beside(rows: DataFrame, low: DataFrame, parts: int = 8) -> DataFrame:
+    """`rows` (u, v) with m of the same u in `low`. Each u is dealt over `parts` tasks, as the centre of a star has very many rows."""
+    given = low.select(F.col("u").alias("n"), "m", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    return rows.join(given, (F.col("u") == F.col("n")) & (F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int") == F.col("part"))).drop("n", "part")
+
+
 def components(edges: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
     """node, root: for each node of the links but the roots, the least node that it reaches."""
     spark = edges.sparkSession
@@ -211,11 +217,11 @@ def components(edges: DataFrame, u: str = "a", v: str = "b") -> DataFrame:
     state, old = said(edges), None
     while state != old and state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
-        large = both.join(low, F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = beside(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         large = materialise(large, "stars")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        side = large.join(low.withColumnRenamed("u", "n"), F.col("u") == F.col("n")).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        side = beside(large, low).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = materialise(side.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
         for done in (edges, large):
             for path in {x.rpartition("/")[0] for x in done.inputFiles()}:

@@ -85,18 +85,59 @@ def scope_totals(spark, sf):
     return insights.scope_totals(M.feeds(spark, sf), counts.base_metrics(M.opportunities(spark, sf), M.REF))
 
 
-_T = ("num_publishers", "num_datasets", "num_feeds", "num_feeds_with_data", "num_feeds_with_future", "total_items", "total_future", "total_future_week")
-_C = ("item_kind", "item_type", "organizer", "activity", "facility", "accessibility", "region", "district", "trust")
-SUMMARY = f"""{ROLL}, {TOTALS} SELECT '1998-06-15' AS run_date,
-    {', '.join(f"(SELECT coalesce(max({c}), 0) FROM t WHERE scope = '{s}') AS {c if s == 'all' else f'{c}_{s}'}" for c in _T for s in insights.SCOPES)},
-    {', '.join(f"(SELECT count(*) FROM r WHERE scope = 'all' AND category = '{c}') AS num_{c}" for c in _C)},
-    {', '.join(f"(SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM r WHERE scope = 'all' AND category = '{c}') AS num_items_with_{c}" for c in _C)}"""
+# areas: two halves by latitude and two by longitude, and a trust in the south
+POINTS = f"SELECT feed_id, lat, lng FROM o WHERE l_partkey % 7 <> 0 UNION ALL SELECT feed_id, lat, lng FROM sub"
+AREAS = f"""SELECT feed_id, 'region' AS category, CASE WHEN lat < 4.95 THEN 'south' ELSE 'north' END AS value FROM ({POINTS}) UNION ALL SELECT feed_id, 'district', CASE WHEN lng < 5.000005 THEN 'west' ELSE 'east' END FROM ({POINTS})
+    UNION ALL SELECT feed_id, 'trust', 'T' FROM ({POINTS}) WHERE lat < 4.95"""
+WHOLE = ROLL.replace(f"FROM ({ALL}) WHERE", f"FROM ({ALL} UNION ALL {AREAS}) WHERE")
+COVERAGE = """mapping AS (SELECT p_name AS activity, CASE WHEN p_size % 5 = 0 THEN 'No Match' ELSE p_brand END AS sport FROM part WHERE p_partkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) = 1),
+    labels AS (SELECT value AS activity, sum(count) AS n FROM r WHERE scope = 'all' AND category IN ('activity', 'facility') GROUP BY value),
+    sad AS (SELECT n, coalesce(sport, 'No Match') AS sport FROM labels LEFT JOIN mapping USING (activity)),
+    sads AS (SELECT CAST(coalesce(sum(n) FILTER (sport <> 'No Match'), 0) AS BIGINT) AS total_num_items_with_sad, CAST(coalesce(sum(n) FILTER (sport = 'No Match'), 0) AS BIGINT) AS total_num_items_without_sad, count(*) FILTER (sport <> 'No Match') AS total_num_activities_with_sad,
+      count(*) FILTER (sport = 'No Match') AS total_num_activities_without_sad, (SELECT count(DISTINCT p_brand) FROM part) AS num_sad, count(DISTINCT sport) FILTER (sport <> 'No Match') AS num_sad_matched FROM sad)"""
+SUMMARY = f"""{WHOLE}, {TOTALS}, {COVERAGE} SELECT '1998-06-15' AS run_date,
+    {', '.join(f"(SELECT coalesce(max({c}), 0) FROM t WHERE scope = '{s}') AS {name if s == 'all' else f'{name}_{s}'}" for c, name in insights.TOTAL_NAMES.items() for s in insights.SCOPES)},
+    {', '.join(f"(SELECT count(*) FROM r WHERE scope = 'all' AND category = '{c}') AS total_num_{name}" for c, (name, _) in insights.CATEGORY_NAMES.items())},
+    {', '.join(f"(SELECT CAST(coalesce(sum(count), 0) AS BIGINT) FROM r WHERE scope = 'all' AND category = '{c}') AS total_num_items_with_{name}" for c, (_, name) in insights.CATEGORY_NAMES.items())},
+    sads.*, num_sad - num_sad_matched AS num_sad_unmatched, round(num_sad_matched * 100.0 / num_sad, 4) AS percentage_sad_matched, round(100 - num_sad_matched * 100.0 / num_sad, 4) AS percentage_sad_unmatched FROM sads"""
+
+
+def insight_run(spark, sf):
+    """The whole run, with areas and sports."""
+    from ..config import EngineConfig
+    from ..operators.spatial import RINGS
+    from ..plans.insights import run
+
+    def box(west, south, east, north):
+        return [[{"lng": x, "lat": y} for x, y in ((west, south), (east, south), (east, north), (west, north))]]
+
+    areas = {"region": [("south", box(-9.0, -1.0, 20.0, 4.95)), ("north", box(-9.0, 4.95, 20.0, 11.0))], "district": [("west", box(-9.0, -1.0, 5.000005, 11.0)), ("east", box(5.000005, -1.0, 20.0, 11.0))], "trust": [("T", box(-9.0, -1.0, 20.0, 4.95))]}
+    layers = {name: spark.createDataFrame([(a, k, rings) for k, (a, rings) in enumerate(own)], f"area string, ordinal int, rings {RINGS}") for name, own in areas.items()}
+    feeds = M.feeds(spark, sf).selectExpr("id", "dataset_url", "s_name AS dataset_name", "publisher_name", "provider", "type", "is_regular", "age AS last_access")
+    log = M.log(spark, sf).withColumn("ingestion_date", F.expr("ingestion_date + make_dt_interval(0, 0, 0, cast(o_orderkey AS decimal(18, 6)) / 1000000)"))  # the later order counts
+    brands = M.table(spark, sf, "part").select(F.col("p_brand").alias("sport_and_discipline")).distinct()
+    return run(M.opportunities(spark, sf), feeds, log, EngineConfig(M.REF), layers, brands, sports(spark, sf))
 
 
 @Q.add(SUMMARY)
 def run_summary(spark, sf):
-    totals = insights.scope_totals(M.feeds(spark, sf), counts.base_metrics(M.opportunities(spark, sf), M.REF))
-    return insights.run_summary(totals, rollup(spark, sf), F.lit(str(M.REF)))
+    out = insight_run(spark, sf).summary
+    return out.withColumns({c: F.round(c, 4) for c in ("percentage_sad_matched", "percentage_sad_unmatched")}).withColumn("run_date", F.date_format("run_date", "yyyy-MM-dd"))
+
+
+_MAPS = {"item_kind": "item_kinds", "item_type": "item_types", "organizer": "organizer_names", "activity": "activities", "facility": "facilities", "accessibility": "accessibilities", "region": "regions", "district": "districts", "trust": "trusts"}
+
+
+@Q.add(f"""{WHOLE}, v AS (SELECT feed_id, category, string_agg(value || '=' || cnt, ',' ORDER BY value) AS counts FROM c GROUP BY ALL), b AS ({BASE}),
+    st AS (SELECT feed_id, status FROM ({M.LOG}) QUALIFY row_number() OVER (PARTITION BY feed_id ORDER BY ingestion_date DESC, o_orderkey DESC) = 1)
+    SELECT '1998-06-15' AS run_date, b.feed_id, b.dataset_url, s_name AS dataset_name, publisher_name, CAST(NULL AS VARCHAR) AS feed_url, CAST(NULL AS VARCHAR) AS license_url, CAST(NULL AS VARCHAR) AS logo_url, type AS feed_type, CAST(NULL AS VARCHAR) AS event_type,
+      CAST(is_regular AS VARCHAR) AS is_regular, status, num_items, num_items AS num_analysis_items, {', '.join(f'num_{w}opportunity_items, num_{w}opportunity_items AS num_{w}opportunity_start_dates' for w in ('', 'future_', 'future_week_'))},
+      {', '.join(f"coalesce((SELECT counts FROM v WHERE v.feed_id = b.feed_id AND category = '{c}'), '') AS {name}_counts" for c, name in _MAPS.items())}
+    FROM b JOIN f ON f.feed_id = b.feed_id LEFT JOIN st ON st.feed_id = b.feed_id""")
+def feed_insights(spark, sf):
+    shown = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    out = insight_run(spark, sf).feeds
+    return out.withColumns({f"{name}_counts": shown(f"{name}_counts") for name in _MAPS.values()} | {"run_date": F.date_format("run_date", "yyyy-MM-dd"), "is_regular": F.col("is_regular").cast("string")})
 
 
 @Q.add(f"""WITH {M.O}, fd AS (SELECT dataset_url, publisher_name, provider FROM ({M.FEEDS}) QUALIFY row_number() OVER (PARTITION BY dataset_url ORDER BY age DESC, id DESC) = 1),

@@ -160,7 +160,7 @@ def age_labels(spark, sf):
     return M.table(spark, sf, "part").select("p_partkey", partners.age_label(F.when(s % 2 == 0, s), F.when(s % 3 == 0, s + 9)).alias("ages"))
 
 
-@Q.add()
+@Q.add(f"""WITH {M.O} SELECT id, array_to_string(list_transform(list_filter(range(0, l_linenumber % 4), lambda i: (l_partkey + i) % 3 <> 0), lambda i: '" ' || c_name || ' "'), ',') AS names FROM o""")
 def recursive_get_values(spark, sf):
     """Names of organizers anywhere in payloads, by the search in document order."""
     rows = M.opportunities(spark, sf).select("id", "has_subEvent")

@@ -197,9 +197,17 @@ def field_presence_exact(spark, sf):
     return field_usage.exact_presence(rows, _EXACT).select("kind", "field", "total_instances", "instances_with")
 
 
-@Q.add()
-def field_dataset_reports(spark, sf):
-    """Per dataset and type, the fields used and those of the model that are not."""
-    return field_usage.dataset_reports(walked(spark, sf), model(spark), CATEGORY, M.feeds(spark, sf))
+_RAWD = " UNION ALL ".join([f"SELECT dataset_url, type, '{f}' AS field FROM ({_TOP}) WHERE {c}" for f, c in _F.items()] + [f"SELECT dataset_url, type, 'geo' FROM ({_PLACE}) WHERE k % 7 <> 0", f"SELECT dataset_url, type, 'amenity' FROM ({_PLACE}) WHERE k % 6 = 0", f"SELECT dataset_url, type, 'value' FROM ({_NEW})"])
+_ENTD = " UNION ALL ".join(f"SELECT dataset_url, type FROM ({x})" for x in (_TOP, _PLACE, _NEW))
 
 
+@Q.add(f"""WITH n AS (SELECT dataset_url, type, field, count(*) AS n FROM ({_RAWD}) GROUP BY ALL), t AS (SELECT dataset_url, type, count(*) AS instances FROM ({_ENTD}) GROUP BY ALL), m(category, field, model_status) AS (VALUES {', '.join(str(x) for x in MODEL)}),
+    a AS (SELECT t.dataset_url, t.type, string_agg(m.field, ',' ORDER BY m.field) FILTER (n.n IS NULL) AS absent FROM (SELECT *, {_CAT} AS category FROM t) t JOIN m USING (category) LEFT JOIN n ON n.dataset_url = t.dataset_url AND n.type = t.type AND n.field = m.field GROUP BY ALL),
+    p AS (SELECT dataset_url, max(publisher_name) AS publisher_name FROM ({M.FEEDS}) GROUP BY dataset_url)
+    SELECT dataset_url, publisher_name, type, instances, string_agg(field || '=' || n, ',' ORDER BY n DESC, field) AS present, CASE WHEN {_CAT} IS NOT NULL THEN coalesce(any_value(absent), '') END AS absent
+    FROM n JOIN t USING (dataset_url, type) LEFT JOIN a USING (dataset_url, type) LEFT JOIN p USING (dataset_url) GROUP BY dataset_url, publisher_name, type, instances""")
+def field_dataset_reports(spark, sf):
+    """Per dataset and type, the fields used and those of the model that are not."""
+    out = field_usage.dataset_reports(walked(spark, sf), model(spark), CATEGORY, M.feeds(spark, sf))
+    used = F.transform("present", lambda x: F.concat_ws("=", x["field"], F.round(x["pct"] * F.col("instances") / 100).cast("bigint")))
+    return out.withColumn("present", F.array_join(used, ",")).withColumn("absent", F.array_join("absent", ","))

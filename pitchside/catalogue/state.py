@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import store
 from ..operators import latest, upsert
 from ..streaming import state as S
 from . import mapping as M
@@ -58,7 +56,8 @@ def stratified_sample(spark, sf):
     return rows.select("dataset_url", "feed_id", "kind", "id", "l_partkey", F.round("l_extendedprice", 2).alias("price"))
 
 
-@Q.add()
+# which of a larger group's rows are chosen is up to a hash that the SQL does not have; groups of 500 or less are whole
+@Q.add(f"""WITH {M.O} SELECT dataset_url, feed_id, kind, id FROM o QUALIFY row_number() OVER (PARTITION BY dataset_url, feed_id, kind ORDER BY id) <= 500""")
 def hashed_sample(spark, sf):
     """At most 500 rows of each group, by a hash of the id."""
     return latest.sample(M.plain(spark, sf), ["dataset_url", "feed_id", "kind"], 500).select("dataset_url", "feed_id", "kind", "id")
@@ -185,11 +184,6 @@ def affected_datasets(spark, sf):
     return rows.withColumn("place", F.row_number().over(Window.orderBy(F.col("items").desc(), "dataset_url")).cast("bigint"))
 
 
-def scratch(spark) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/pitchside-stream-{uuid.uuid4().hex}"
-
-
 def stream(spark, sf):
     rows = M.table(spark, sf, "events")
     # a file source reads folders; one file is a folder's only file
@@ -198,7 +192,7 @@ def stream(spark, sf):
 
 @Q.add(STATE)
 def streaming_latest_state(spark, sf):
-    at = scratch(spark)
+    at = store.folder(spark, "stream")
     state = S.StateTable(spark, f"{at}/state", "user_id bigint, ts timestamp, event_id bigint, event_type string, value double")
     rows = stream(spark, sf).select("user_id", "ts", "event_id", "event_type", "value")
     S.keep_state(rows, state, ["ts", "event_id"], F.col("event_type") == "error", ["user_id"], f"{at}/checkpoint").awaitTermination()

@@ -6,9 +6,10 @@ import json
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sad import with_shares
 
 DEPTH = 6
 LEFT_OUT = ("@context", "@type", "type")
@@ -150,4 +151,5 @@ def markdown(usage: DataFrame, title: str = "Field usage") -> str:
 
 
 def shares(totals: DataFrame, count: str = "count") -> DataFrame:
-    return totals.withColumn("percentage", F.col(count) / F.sum(count).over(Window.partitionBy()) * 100)
+    """Each count's percentage of all; the sum is one row that goes to all tasks."""
+    return with_shares(totals, {"percentage": count})

@@ -12,12 +12,13 @@ from . import mapping as M
 Q = M.Registry()
 
 
-@Q.add("""SELECT 'i' || l_orderkey || '-' || l_linenumber AS sub_id, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'o/' || l_orderkey END AS super_id FROM lineitem""")
+# a second pair of feeds has the same ids
+@Q.add("""SELECT 'a' AS pair, 'i' || l_orderkey || '-' || l_linenumber AS sub_id, CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'o/' || l_orderkey END AS super_id FROM lineitem""")
 def partner_items(spark, sf):
     items, orders = M.table(spark, sf, "lineitem"), M.table(spark, sf, "orders")
-    subs = items.select(F.concat(F.lit("i"), "l_orderkey", F.lit("-"), "l_linenumber").alias("id"), F.concat(F.lit("https://example.org/"), F.when(F.col("l_orderkey") % 3 == 0, "none").when(F.col("l_orderkey") % 3 == 1, "d").otherwise(""), F.col("l_orderkey").cast("string")).alias("super_ref"))
-    supers = orders.select(F.concat(F.lit("o/"), "o_orderkey").alias("id"), F.concat(F.lit("x/d"), "o_orderkey").alias("data_id"), F.col("o_orderkey").alias("seq"))
-    return partners.partner_items(subs, supers)
+    subs = items.select(F.lit("a").alias("pair"), F.concat(F.lit("i"), "l_orderkey", F.lit("-"), "l_linenumber").alias("id"), F.concat(F.lit("https://example.org/"), F.when(F.col("l_orderkey") % 3 == 0, "none").when(F.col("l_orderkey") % 3 == 1, "d").otherwise(""), F.col("l_orderkey").cast("string")).alias("super_ref"))
+    supers = orders.select(F.lit("a").alias("pair"), F.concat(F.lit("o/"), "o_orderkey").alias("id"), F.concat(F.lit("x/d"), "o_orderkey").alias("data_id"), F.col("o_orderkey").alias("seq"))
+    return partners.partner_items(subs, supers.unionByName(supers.withColumns({"pair": F.lit("b"), "seq": F.col("seq") + 10**9})))
 
 
 URLS = "SELECT 'https://h' || (s_suppkey // 2) || '.org/' || CASE s_suppkey % 4 WHEN 0 THEN 'session-series' WHEN 1 THEN 'scheduled-sessions' WHEN 2 THEN 'facility-uses' ELSE 'facility-uses/events' END AS url FROM supplier"
@@ -134,6 +135,21 @@ def facility_lookup(spark, sf):
     return partners.facility_lookup(slots, facilities, ["provider"]).drop("facility_ref")
 
 
+# customers are facilities at places by their key, with a segment as provider and a nation as activity
+@Q.add("""WITH f AS (SELECT c_custkey AS seq, c_custkey % 50 AS place, c_mktsegment AS provider, c_nationkey AS activity, c_name AS name FROM customer),
+    s AS (SELECT o_orderkey, o_custkey % 60 AS place, CASE WHEN o_orderkey % 2 = 0 THEN c_mktsegment ELSE 'none' END AS provider, CASE WHEN o_orderkey % 3 = 0 THEN c_nationkey ELSE -1 END AS activity FROM orders JOIN customer ON c_custkey = o_custkey)
+    SELECT o_orderkey, coalesce(CASE WHEN o_orderkey % 5 = 0 THEN 'own' END, (SELECT arg_min(name, seq) FROM f WHERE f.place = s.place AND f.provider = s.provider AND f.activity = s.activity), (SELECT arg_min(name, seq) FROM f WHERE f.place = s.place AND f.provider = s.provider),
+      (SELECT arg_min(name, seq) FROM f WHERE f.place = s.place AND f.activity = s.activity), (SELECT arg_min(name, seq) FROM f WHERE f.place = s.place)) AS name FROM s""")
+def facility_by_place(spark, sf):
+    customers, orders = M.table(spark, sf, "customer"), M.table(spark, sf, "orders")
+    facilities = customers.select(F.col("c_custkey").alias("seq"), (F.col("c_custkey") % 50).cast("double").alias("lat"), F.lit(1.0).alias("lng"), F.col("c_mktsegment").alias("provider"), F.col("c_nationkey").cast("int").alias("activity"), F.col("c_name").alias("name"))
+    k = F.col("o_orderkey")
+    slots = orders.join(customers, F.col("c_custkey") == F.col("o_custkey")).select(
+        "o_orderkey", (F.col("o_custkey") % 60).cast("double").alias("lat"), F.lit(1.0).alias("lng"), F.when(k % 2 == 0, F.col("c_mktsegment")).otherwise("none").alias("provider"), F.when(k % 3 == 0, F.col("c_nationkey").cast("int")).otherwise(-1).alias("activity"), F.when(k % 5 == 0, "own").alias("name"),
+    )
+    return partners.facility_by_place(slots, facilities, ["name"]).select("o_orderkey", "name")
+
+
 @Q.add("SELECT l_orderkey, l_linenumber, l_partkey, coalesce(CASE WHEN l_partkey % 2 = 0 THEN l_returnflag END, o_orderpriority) AS organizer, o_orderstatus AS super_super FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey")
 def legacy_inherit(spark, sf):
     from ..operators.upsert import fill

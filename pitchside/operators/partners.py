@@ -84,12 +84,12 @@ def get_values(texts: Column, parents: Sequence[str], children: Sequence[str] |
 
 
 def partner_items(subs: DataFrame, supers: DataFrame) -> DataFrame:
-    """sub_id, super_id: by the tail of the named id, first among item ids, then among data ids; of several supers the last.
-    subs: id, super_ref. supers: id, data_id, seq."""
-    last = lambda key: supers.where(F.col(key).isNotNull()).groupBy(tail(F.col(key)).alias("k")).agg(F.max_by("id", "seq").alias("super_id"))
-    own = subs.select(F.col("id").alias("sub_id"), tail(F.col("super_ref")).alias("ref"))
-    by_id, by_data = last("id").withColumnsRenamed({"k": "k1", "super_id": "s1"}), last("data_id").withColumnsRenamed({"k": "k2", "super_id": "s2"})
-    return own.join(by_id, F.col("ref") == F.col("k1"), "left").join(by_data, F.col("ref") == F.col("k2"), "left").select("sub_id", F.coalesce("s1", "s2").alias("super_id"))
+    """pair, sub_id, super_id: by the tail of the named id, first among item ids, then among data ids, of the pair of feeds that both are in; of several
+    supers the last. subs: pair, id, super_ref. supers: pair, id, data_id, seq."""
+    last = lambda key: supers.where(F.col(key).isNotNull()).groupBy("pair", tail(F.col(key)).alias("ref")).agg(F.max_by("id", "seq").alias(f"_by_{key}"))
+    own = subs.select("pair", F.col("id").alias("sub_id"), tail(F.col("super_ref")).alias("ref"))
+    both = own.join(last("id"), ["pair", "ref"], "left").join(last("data_id"), ["pair", "ref"], "left")
+    return both.select("pair", "sub_id", F.coalesce("_by_id", "_by_data_id").alias("super_id"))
 
 
 def feed_event_type(items: DataFrame, feeds: DataFrame) -> DataFrame:
@@ -168,6 +168,19 @@ def facility_lookup(slots: DataFrame, facilities: DataFrame, columns: Sequence[s
     return both.select(*(F.coalesce(F.col(c), F.col(f"_f_{c}._f_{c}")).alias(c) if c in columns else F.col(c) for c in slots.columns))
 
 
+def facility_by_place(slots: DataFrame, facilities: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Slots that name no known facility, with the empty ones of the columns from the first facility at their place with their provider and their activity,
+    else with their provider, else with their activity, else at the place alone. Both: lat, lng, provider, activity; facilities: seq."""
+    kinds = (("provider", "activity"), ("provider",), ("activity",), ())
+    out = slots
+    for k, also in enumerate(kinds):
+        keys = ["lat", "lng", *also]
+        first = facilities.where(" and ".join(f"{c} is not null" for c in keys)).groupBy(*keys).agg(F.min_by(F.struct(*columns), "seq").alias(f"_at_{k}"))
+        out = out.join(first, keys, "left")
+    pick = lambda c: F.coalesce(F.col(c), F.coalesce(*(F.col(f"_at_{k}") for k in range(len(kinds))))[c]).alias(c)
+    return out.select(*(pick(c) if c in columns else F.col(c) for c in slots.columns))
+
+
 def region_stats(items: DataFrame, no_location: str = "_NO_LOCATION", unmatched: str = "_UNMATCHED") -> DataFrame:
     """Per region: items, organisers and activities. Items without a place and those in no region have rows of their own,
     and come last. items: lat, region, organizer, activities."""

@@ -32,7 +32,49 @@ def test_source(spark, tmp_path):
     spark.dataSource.register(rpde.PagedFeed)
     urls = json.dumps({"one": "http://f/a", "two": "http://f/none"})
     rows = spark.read.format("paged_feed").option("urls", urls).option("folder", str(tmp_path)).load().orderBy("feed_id", "seq").collect()
-    assert [(r.feed_id, r.id, r.state, r.modified, r.status) for r in rows] == [("one", "1", "updated", 5, "COMPLETE"), ("one", "2", "deleted", 6, "COMPLETE"), ("two", None, None, None, "ERROR")]
+    assert [(r.feed_id, r.id, r.state, r.modified, r.status, r.next) for r in rows] == [
+        ("one", "1", "updated", 5, None, "http://f/a2"), ("one", "2", "deleted", 6, None, "http://f/a3"), ("one", None, None, None, "COMPLETE", "http://f/a3"), ("two", None, None, None, "ERROR", "http://f/none"),
+    ]
+    few = spark.read.format("paged_feed").option("urls", urls).option("folder", str(tmp_path)).option("mostPages", "1").load().where("feed_id = 'one'").orderBy("seq").collect()
+    assert [(r.id, r.status, r.next) for r in few] == [("1", None, "http://f/a2"), (None, "COMPLETE", "http://f/a2")]
+
+
+def test_pages_come_one_by_one_and_stop_in_time():
+    asked = []
+    feed = rpde.pages("http://f/a", lambda url: asked.append(url) or PAGES[url])
+    assert [x["id"] for x in next(feed).items] == [1] and asked == ["http://f/a"]  # nothing is read ahead
+    ticks = iter([0.0, 1.0, 700.0])
+    out = list(rpde.pages("http://f/a", PAGES.__getitem__, most_seconds=600, clock=lambda: next(ticks)))
+    assert [(len(x.items), x.status, x.next) for x in out] == [(1, None, "http://f/a2"), (0, "TIMEOUT", "http://f/a2")]
+
+
+@pytest.mark.parametrize(("given", "joined", "spliced"), [("b?c=1", "http://h/x/b?c=1", "http://h/b?c=1"), ("/b", "http://h/b", "http://h/b"), ("?c=1", "http://h/x/a?c=1", "http://h?c=1"), ("https://g/y", "https://g/y", "https://g/y"), ("", "http://h/x/a", "http://h/x/a")])
+def test_next_addresses(given, joined, spliced):
+    assert (rpde.onward("http://h/x/a", given), rpde.onward("http://h/x/a", given, "http://h")) == (joined, spliced)
+
+
+def test_get_asks_again(monkeypatch):
+    import io
+    import ssl
+    import urllib.error
+
+    said = []
+
+    def answer(request, timeout, context):
+        said.append(context is not None)
+        if len(said) == 1:
+            raise urllib.error.HTTPError(request.full_url, 503, "busy", {}, None)
+        if context is None:
+            raise urllib.error.URLError(ssl.SSLError("certificate"))
+        return io.BytesIO(b'{"items": []}')
+
+    monkeypatch.setattr(rpde.urllib.request, "urlopen", answer)
+    assert rpde.get("https://f/a", sleep=lambda _: None, unverified=True) == {"items": []} and said == [False, False, True]
+    with pytest.raises(urllib.error.URLError):
+        rpde.get("https://f/a", sleep=lambda _: None)
+    monkeypatch.setattr(rpde.urllib.request, "urlopen", lambda *a, **k: (_ for _ in ()).throw(urllib.error.HTTPError("https://f/a", 404, "gone", {}, None)))
+    with pytest.raises(urllib.error.HTTPError):
+        rpde.get("https://f/a", sleep=lambda _: None)
 
 
 def test_stream_moves_a_page_at_a_time(tmp_path):

@@ -527,54 +527,79 @@ def test_mix_is_unbiased(spark):
 # --- 8
 
 
-def test_scores(odd, docs, none):
+def brute_scores(rows, held, least=2, d=0.75):
+    """rows: (doc_id, words). Scores by order 3, interpolated, with the states of the production parameters."""
+    one, two, three = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, own in rows:
+        if not held(i):
+            t = [b"", *own, b""]  # a text begins after an end
+            one.update(t[1:])
+            two.update(zip(t, t[1:], strict=False))
+            three.update(zip(t, t[1:], t[2:], strict=False))
+    n, v = sum(one.values()), len(one)
+    after, after2, mass, mass2 = (collections.Counter() for _ in range(4))
+    for (u, _), c in two.items():
+        after[u] += 1
+        mass[u] += c
+    for x, c in three.items():
+        after2[x[:2]] += 1
+        mass2[x[:2]] += c
+    out = []
+    for i, own in rows:
+        t = [b"", *own, b""]
+        score = base = 0.0
+        for k in range(1, len(t)):
+            root = p = (one[t[k]] + 1) / (n + v + 1)
+            u, pair = t[k - 1], tuple(t[k - 2 : k]) if k > 1 else None
+            if one[u]:
+                p = (1 - (mass[u] - d * after[u]) / one[u]) * root + max(0, two[u, t[k]] - d) / one[u]
+            if pair is not None and two[pair] >= least:
+                p = (1 - (mass2[pair] - d * after2[pair]) / two[pair]) * p + max(0, three[*pair, t[k]] - d) / two[pair]
+            score, base = score + math.log10(p), base + math.log10(root)
+        out.append((i, held(i), len(t) - 1, sum(one[w] > 0 for w in t[1:]), n, round(base, 5), round(score, 5)))
+    return collections.Counter(out)
+
+
+def test_scores(odd, docs, none, monkeypatch):
+    """With the query's own parameters, and with small blocks, few buckets and common contexts."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     for df in (odd, docs):
-        rows = [(r.doc_id, [*words((r.text or "").translate({c: c + 32 for c in range(65, 91)})), b""]) for r in df.collect()]
-        held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
-        count, pairs = collections.Counter(), collections.Counter()
-        for i, own in rows:
-            if not held(i):
-                count.update(own)
-                pairs.update(zip([b"", *own], own, strict=False))
-        n, v = sum(count.values()), len(count)
-        kept = {p: c for p, c in pairs.items() if c >= 2 and min(count[p[0]], count[p[1]]) >= 3}
-        mass = collections.defaultdict(float)
-        for (u, _), c in kept.items():
-            mass[u] += (c - 0.75) / count[u]
-        root = lambda w: (count[w] + 1) / (n + v + 1)
-        want = collections.Counter()
-        for i, own in rows:
-            score = sum(math.log10((1 - mass[u]) * root(w) + ((kept[u, w] - 0.75) / count[u] if (u, w) in kept else 0)) for u, w in zip([b"", *own], own, strict=False))
-            want[i, held(i), len(own), sum(count[w] > 0 for w in own), n, round(sum(math.log10(root(w)) for w in own), 5), round(score, 5)] += 1
-        got = ngram.scores(df, ~queries.learnt(7, 2), least_word=3, block_rows=7, salts=3).collect()
-        assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got) == want
+        rows = [(r.doc_id, words((r.text or "").translate({c: c + 32 for c in range(65, 91)}))) for r in df.collect()]
+        want = brute_scores(rows, held)
+        for block, options in ((ngram.BLOCK, {}), (3000, {"salts": 3, "bits": 1})):
+            monkeypatch.setattr(ngram, "BLOCK", block)
+            got = ngram.scores(df.repartition(3), ~queries.learnt(7, 2), **options).collect()
+            assert collections.Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got) == want
     assert ngram.scores(none, ~queries.learnt(7, 2)).count() == 0
-
-
-def test_probabilities_add_up(docs):
-    """Over all words, the unknown one and the end, after any state."""
-    rows = [[*words((r.text or "").lower()), b""] for r in docs.limit(30).collect()]
-    count = collections.Counter(w for own in rows for w in own)
-    words_ = np.array(sorted(xxhash.xxh64_intdigest(w) for w in count), np.uint64)
-    by_hash = {xxhash.xxh64_intdigest(w): c for w, c in count.items()}
-    totals = np.array([by_hash[int(h)] for h in words_], np.uint64)
-    number = np.where(totals >= 2, np.cumsum(totals >= 2), 0).astype(np.uint64)
-    id_of = dict(zip(words_.tolist(), number.tolist(), strict=True))
-    pairs = collections.Counter()
-    for own in rows:
-        h = [id_of[xxhash.xxh64_intdigest(w)] for w in [b"", *own]]
-        pairs.update((u, v) for u, v in zip(h, h[1:], strict=False) if u and v)
-    kept = sorted((u << 32 | v, c) for (u, v), c in pairs.items() if c >= 2)
-    keys, c = np.array([k for k, _ in kept], np.uint64), np.array([x for _, x in kept], np.uint64)
-    contexts, at = np.unique(keys >> np.uint64(32), return_inverse=True)
-    n, v = int(totals.sum()), len(words_)
-    model = ngram.Automaton(words_, totals, number, keys, c, contexts, np.bincount(at, weights=c).astype(np.uint64), np.bincount(at).astype(np.uint64), n, v, 0.75)
-    for state in [int(x) for x in words_[np.argsort(-totals.astype(np.int64))[:5]]]:
-        hashes = np.array([y for w in words_.tolist() for y in (state, w)], np.uint64)
-        whole, _, _ = model.walk(hashes, np.full(len(words_), 2))
-        alone, _, _ = model.walk(np.full(len(words_), state, np.uint64), np.ones(len(words_), np.int64))
-        unknown = model.fail[np.searchsorted(words_, np.uint64(state))] / (n + v + 1)
-        assert math.isclose((10 ** (whole - alone)).sum() + unknown, 1, rel_tol=1e-9)
+    assert {r.n_known for r in ngram.scores(docs, F.lit(True)).collect()} == {0}
+
+
+def test_probabilities_add_up(spark):
+    """Over all words, the unknown one and the end, after a pair that is a state."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(30)) for _ in range(20)]
+    vocabulary = [*"abcdef", "unknown"]
+    tries = [f"a b {w}" for w in vocabulary] + ["a b"]
+    docs = spark.createDataFrame([*enumerate(texts), *((100 + k, t) for k, t in enumerate(tries))], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in ngram.scores(docs, F.col("doc_id") >= 100).collect()}
+    one, two = collections.Counter(w for t in texts for w in [*t.split(), ""]), collections.Counter(p for t in texts for p in zip(["", *t.split()], [*t.split(), ""], strict=True))
+    three = collections.Counter(p for t in texts for p in zip(["", *t.split()], [*t.split(), ""], [*t.split()[1:], ""], strict=False))
+    n, v = sum(one.values()), len(one)
+
+    def chance(u, pair, w):
+        p = (one[w] + 1) / (n + v + 1)
+        types = len({b for a, b in two if a == u})
+        p = 0.75 * types / one[u] * p + max(0, two[u, w] - 0.75) / one[u] if one[u] else p
+        if pair and two[pair] >= 2:
+            types = len({x[2] for x in three if x[:2] == pair})
+            p = 0.75 * types / two[pair] * p + max(0, three[*pair, w] - 0.75) / two[pair]
+        return p
+
+    assert math.isclose(sum(chance("b", ("a", "b"), w) for w in [*vocabulary, ""]), 1, rel_tol=1e-9)
+    for k, t in enumerate(tries):
+        own = t.split()
+        want = sum(math.log10(chance(([""] + own)[i], tuple(([""] + own)[i - 1 : i + 1]) if i else None, w)) for i, w in enumerate([*own, ""]))
+        assert math.isclose(got[100 + k], want, rel_tol=1e-9)
 
 
 def test_query_counts_every_pair(spark, tmp_path):
@@ -585,13 +610,6 @@ def test_query_counts_every_pair(spark, tmp_path):
     texts = dict(zip(inside, (rare, ["some", "other", "words"], ["more", "words"]), strict=True)) | dict(zip(out, (rare, rare[::-1]), strict=True))
     spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r for r in queries.op8_ngram(spark, str(tmp_path)).collect()}
-    own = [[*texts[i], ""] for i in inside]
-    count, pairs = collections.Counter(w for t in own for w in t), collections.Counter(p for t in own for p in zip(["", *t], t, strict=False))
-    n, v = sum(count.values()), len(count)
-    for i, t in texts.items():
-        types = collections.Counter(u for u, _ in pairs)
-        chance = [(0.75 * types[a] / count[a]) * (count[b] + 1) / (n + v + 1) + max(0, pairs[a, b] - 0.75) / count[a] for a, b in zip(["", *t], [*t, ""], strict=True)]
-        assert math.isclose(got[i].score, sum(map(math.log10, chance)), rel_tol=1e-9)
     assert got[out[0]].score > got[out[0]].base_score and got[out[0]].score > got[out[1]].score
 
 

@@ -6,8 +6,8 @@ that of its last word, and from there to the root, which has an arc for each wor
 that is carried is the longest of these that ends in the token just read, from that of the end token on: where it has no arc for a token, its failure
 arcs are followed. All texts of a block are read side by side.
 
-Counts cover all learnt documents, and every word, pair and triple that they hold; a triple counts from a pair that occurs once, too, but such a pair has no state of its own (its only
-successor would tell nothing but itself). Texts are read once: each task writes blocks of word numbers to the shared folder. Each block sends its distinct words, then its distinct
+Counts cover all learnt documents, and every word and pair that they hold. Triples are counted after pairs that are states; a pair that occurs less often has none of its own
+and is read in its last word's state. Texts are read once: each task writes blocks of word numbers to the shared folder. Each block sends its distinct words, then its distinct
 pairs, then its distinct triples in packed arrays to buckets by hash, and gets back the totals of those only. Contexts that hold many of the tokens are dealt over
 `salts` buckets. Numbers of words and pairs are those of their buckets and places there, so no task, and never the driver, holds the model or a list of buckets.
 
